@@ -8,17 +8,13 @@ from __future__ import annotations
 
 import functools
 import json
-import re
+import sys
 from array import array
 
 import public_tokenizers
 
 DEFAULT = public_tokenizers.path("byte_bpe_50k.json")
 
-#: A blank before more white space: there, a cut before the blank could change the ids.
-_LOOSE_BLANK = re.compile(r" \s")
-
-
 def _byte_letters() -> dict[str, int]:
     """The letter that byte-level vocabularies write for each byte, the other way round."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -59,7 +55,6 @@ class Encoder:
             ids = {t["content"]: t["id"] for t in spec["added_tokens"]}
             ranks = {bytes(back[c] for c in w): i for w, i in model["vocab"].items() if w not in ids}
             self._tik = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ids)
-            self._pieces: dict[str, bytes] = {}
         else:
             from tokenizers import Tokenizer
 
@@ -83,25 +78,12 @@ class Encoder:
             return [len(x) for x in self._tok.encode_batch(texts, add_special_tokens=False)]
         return [len(self.ids(t)) for t in texts]
 
-    def id_bytes(self, text: str, most: int = 400_000) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers.
-
-        Texts whose blanks all stand before a word are cut there, where no merge can cross, and
-        the ids of each piece are kept for its next use, for up to ``most`` pieces.
-        """
-        if not self._tik or _LOOSE_BLANK.search(text) or any(s in text for s in self.special):
-            return array("I", self.ids(text)).tobytes()
-        known, encode = self._pieces, self._tik.encode_ordinary
-        if len(known) > most:
-            known.clear()
-        first, *rest = text.split(" ")
-        out = [array("I", encode(first)).tobytes()]
-        for w in rest:
-            b = known.get(w)
-            if b is None:
-                known[w] = b = array("I", encode(" " + w)).tobytes()
-            out.append(b)
-        return b"".join(out)
+    def id_bytes(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
+        ids = array("I", self.ids(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 @functools.cache

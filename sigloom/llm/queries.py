@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import format_conversations, read_loss, read_turns
+from .decontam import find_leaks
 from .exact_dedup import exact_classes
+from .jaccard_join import jaccard_components
 from .language_id import fit_languages, predict_languages
 from .packing import pack_documents
 from .secret_scan import secret_spans
@@ -22,6 +24,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), capacity=1024)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_table(spark, sf_dir, "documents"))
 
@@ -66,11 +72,15 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), words=4)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts)}
 
 ORACLE_SQL = {
     "op5_chat_format": r"""

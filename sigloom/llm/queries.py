@@ -13,6 +13,7 @@ from .language_id import fit_languages, predict_languages
 from .packing import pack_documents
 from .secret_scan import secret_spans
 from .sharding import kd_shards
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 
 
@@ -28,6 +29,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), least=400, keep_first=False)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_table(spark, sf_dir, "documents"))
 
@@ -80,7 +85,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op3_suffix_dedup, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts)}
 
 ORACLE_SQL = {
     "op5_chat_format": r"""

@@ -34,3 +34,24 @@ def jaccard_components(rows: list[tuple], words: int, share: int = 85, of: int =
             x, y = sorted((find(a), find(b)))
             root[y] = x
     return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def repeated(rows: list[tuple], least: int, keep_first: bool) -> list[tuple]:
+    """(id, n_bytes, n_removed, n_spans, kept bytes) by row."""
+    raws = [(i, (t or "").encode()) for i, t in rows]
+    seen: dict[bytes, list] = {}
+    for k in sorted(range(len(raws)), key=lambda k: (raws[k][0] is not None, raws[k][0] or 0)):
+        r = raws[k][1]
+        for a in range(len(r) - least + 1):
+            seen.setdefault(r[a : a + least], []).append((k, a))
+    cover = [bytearray(len(r)) for _, r in raws]
+    for places in seen.values():
+        if len(places) > 1:
+            for k, a in places[keep_first:]:
+                cover[k][a : a + least] = b"\x01" * least
+    out = []
+    for (i, r), c in zip(raws, cover):
+        kept = bytes(x for x, y in zip(r, c) if not y)
+        spans = sum(1 for j in range(len(c)) if c[j] and not (j and c[j - 1]))
+        out.append((i, len(r), len(r) - len(kept), spans, kept))
+    return out

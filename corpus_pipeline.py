@@ -1,17 +1,45 @@
-"""The corpus pipeline: documents in, packed pieces out. Grows as its operators do."""
+"""The corpus pipeline: documents in, packed pieces out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sigloom.llm.decontam import decontaminate
 from sigloom.llm.exact_dedup import exact_dedup
+from sigloom.llm.jaccard_join import near_dedup
+from sigloom.llm.language_id import fit_languages, keep_recognised
 from sigloom.llm.packing import pack_documents
 from sigloom.session import settled
 
-STAGES = [
-    ("exact dedup", lambda spark, docs, sf_dir: exact_dedup(docs)),
-    ("packing", lambda spark, docs, sf_dir: pack_documents(docs)),
-]
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are null, hold no letter or fit two languages alike go."""
+    return keep_recognised(docs, fit_languages(docs))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id stays."""
+    return exact_dedup(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at 0.8 the one with the smallest id stays."""
+    return near_dedup(docs)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, as pieces in sequences of 1024 tokens."""
+    return pack_documents(docs)
+
+
+STAGES = [("language ID", language), ("exact dedup", exact), ("n-gram Jaccard join", near), ("benchmark decontamination", clean), ("packing", pack)]
+
+#: Compression, alignment and packing have no SQL; tests run the stages against plain versions.
 ORACLE_SQL = None
 
 

@@ -103,6 +103,23 @@ def star(sigs: np.ndarray, vertices: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return sigs[head], vertices[head], links
 
 
+def packed(sigs: np.ndarray, hubs: np.ndarray) -> bytes:
+    """Sorted signatures as differences, byte by byte so that high zero bytes compress; vertices once each."""
+    names, index = np.unique(hubs, return_inverse=True)
+    steps = np.diff(sigs, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    kind = np.uint16 if len(names) <= 1 << 16 else np.uint32
+    return b"".join([np.array([len(sigs), len(names)], np.int64).tobytes(), names.tobytes(), steps.tobytes(), index.astype(kind).tobytes()])
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = np.frombuffer(blob, np.int64, 2)
+    names = np.frombuffer(blob, np.int64, m, 16)
+    at = 16 + 8 * m
+    steps = np.frombuffer(blob, np.uint8, 8 * n, at).reshape(8, n).T.copy().view(np.uint64).ravel()
+    index = np.frombuffer(blob, np.uint16 if m <= 1 << 16 else np.uint32, n, at + 8 * n)
+    return np.cumsum(steps, dtype=np.uint64), names[index]
+
+
 def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect the linked sets of ``sets`` exactly as all links would.
 
@@ -208,7 +225,7 @@ def jaccard_components(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["id", "n", "v"])
 
     sets = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long"), "sets")
-    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) * 2)
+    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()  # sets of this task: copies give the same signatures
@@ -227,19 +244,21 @@ def jaccard_components(
             sigs, hubs, links = star(np.concatenate(found), np.concatenate(owner))
             place = (sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
             cuts = np.searchsorted(place, np.arange(buckets + 1))
-            out = [(k, sigs[a:b].tobytes(), hubs[a:b].tobytes(), b"") for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+            out = [(k, packed(sigs[a:b], hubs[a:b]), b"") for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
             if len(links):
-                out.append((int(links[0, 1] % buckets), b"", b"", links.tobytes()))
+                out.append((int(links[0, 1] % buckets), b"", links.tobytes()))
             k, *blobs = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]], ["bucket", "sigs", "hubs", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]], ["bucket", "sigs", "links"])
 
     def meet(table: pa.Table) -> pa.Table:
-        blob = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-        links = [blob("links", np.int64).reshape(-1, 2), star(blob("sigs", np.uint64), blob("hubs", np.int64))[2]]
+        parts = [unpacked(b) for b in table.column("sigs").to_pylist() if b]
+        links = [np.frombuffer(b"".join(table.column("links").to_pylist()), np.int64).reshape(-1, 2)]
+        if parts:
+            links.append(star(*map(np.concatenate, zip(*parts)))[2])
         links = np.unique(np.concatenate(links), axis=0)
         return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
-    signed = rows.select("text").mapInArrow(sign, "bucket int, sigs binary, hubs binary, links binary")
+    signed = rows.select("text").mapInArrow(sign, "bucket int, sigs binary, links binary")
     candidates = components(signed.groupBy("bucket").applyInArrow(meet, "a long, b long"))
 
     # One document stands for each candidate vertex; its text goes to its component's group.
@@ -278,3 +297,13 @@ def jaccard_components(
     place = rooted.join(least, "root").select("v", "component_id")
     out = sets.join(place, "v", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("v").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: Threshold | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, that have the smallest id of their component.
+
+    See :func:`jaccard_components`; texts without shingles all stay, and so do rows with null ids.
+    """
+    found = jaccard_components(docs, id_col, text_col, words, threshold or Threshold(80, 100))
+    gone = settled(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
+    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -75,24 +75,43 @@ def predict_languages(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coders = model.compressors(level)
+        judge = _judge(model, margin, level, chunk_bytes)
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(1).to_pylist():
-                if not coders or text is None or not _LETTER.search(text):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                raw = text.encode()
-                sizes = dict.fromkeys(coders, 0)
-                for start in range(0, len(raw), chunk_bytes):
-                    chunk = raw[start : start + chunk_bytes]
-                    for lang, coder in coders.items():
-                        sizes[lang] += len(coder.compress(chunk))
-                best, *rest = sorted(sizes.items(), key=lambda x: x[1])
-                langs.append(best[0])
-                scores.append((rest[0][1] - best[1]) / rest[0][1] if rest else 1.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array([lang == UNKNOWN or s < margin for lang, s in zip(langs, scores)])], ["id", "lang_pred", "score", "rejected"])
+            langs, scores, rejected = zip(*map(judge, batch.column(1).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["id", "lang_pred", "score", "rejected"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(predict, f"id {kind}, lang_pred string, score double, rejected boolean").withColumnRenamed("id", id_col)
+
+
+def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = "text", margin: float = 0.01, level: int = 6, chunk_bytes: int = 4096) -> DataFrame:
+    """The rows of ``docs``, all columns, that :func:`predict_languages` does not reject."""
+    ship(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(model, margin, level, chunk_bytes)
+        for batch in batches:
+            yield batch.filter(pa.array([not judge(t)[2] for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def _judge(model: LanguageModel, margin: float, level: int, chunk_bytes: int) -> Callable[[str | None], tuple[str, float, bool]]:
+    """Language, score and rejection of one text."""
+    coders = model.compressors(level)
+
+    def judge(text: str | None) -> tuple[str, float, bool]:
+        if not coders or text is None or not _LETTER.search(text):
+            return UNKNOWN, 0.0, True
+        raw = text.encode()
+        sizes = dict.fromkeys(coders, 0)
+        for start in range(0, len(raw), chunk_bytes):
+            chunk = raw[start : start + chunk_bytes]
+            for lang, coder in coders.items():
+                sizes[lang] += len(coder.compress(chunk))
+        best, *rest = sorted(sizes.items(), key=lambda x: x[1])
+        score = (rest[0][1] - best[1]) / rest[0][1] if rest else 1.0
+        return best[0], score, score < margin
+
+    return judge

@@ -45,9 +45,11 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if learn is not None:
         rows = rows.where(learn)
     key = F.xxhash64(F.col(id_col))
-    first = Window.partitionBy("lang").orderBy("key", "id")
-    ranked = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), key.alias("key")).withColumn("rank", F.row_number().over(first))
-    picked = ranked.where(F.col("rank") <= texts_a_language).select("lang", "id")
+    ranked = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), key.alias("key")).withColumn("salt", F.pmod("key", F.lit(64)))
+    for group in (["lang", "salt"], ["lang"]):  # so that a language of any size reaches a task as 64 short lists
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy("key", "id"))
+        ranked = ranked.withColumn("rank", rank).where(F.col("rank") <= texts_a_language).drop("rank")
+    picked = ranked.select("lang", "id")
     share = max(1, dictionary_bytes // texts_a_language)
     texts = rows.where(F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, 4 * share).alias("text"))
     found: dict[str, list[tuple]] = {}

@@ -247,6 +247,8 @@ def jaccard_components(
             out = [(k, packed(sigs[a:b], hubs[a:b]), b"") for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
             if len(links):
                 out.append((int(links[0, 1] % buckets), b"", links.tobytes()))
+            if not out:
+                continue
             k, *blobs = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]], ["bucket", "sigs", "links"])
 

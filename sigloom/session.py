@@ -37,12 +37,15 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; a temporary one where it is unset."""
+    """The shared folder named in ``spark.checkpoint.dir``; one temporary folder a session where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="sigloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _own_dirs.get(app) or _own_dirs.setdefault(app, tempfile.mkdtemp(prefix="sigloom-"))
     return folder.rstrip("/")
 
 

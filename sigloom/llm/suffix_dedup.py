@@ -168,7 +168,7 @@ def repeated_ranges(contents: list[bytes], many: list[bool], least: int, keep_fi
         yield k, a - int(begins[k]), b - 1 + least - int(begins[k])
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep_first: bool, group_bytes: int = 4 << 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep_first: bool, group_bytes: int = 3 << 19) -> DataFrame:
     """``(id, t, start, end)``, not yet merged: the byte ranges that repeat, by id and hash of the text."""
     spark = ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -181,7 +181,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
             start = size = 0
             for k, r in enumerate(raws):
                 size += len(r)
-                if size >= 1 << 21 or k + 1 == len(raws):
+                if size >= 1 << 19 or k + 1 == len(raws):
                     found += runs(raws[start : k + 1], least)
                     start, size = k + 1, 0
             h, c, a, n = zip(*found) if found else ((), (), (), ())

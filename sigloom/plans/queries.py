@@ -488,8 +488,7 @@ def _written_csv(spark: SparkSession, sf_dir: str) -> str:
 
 @register(f"WITH {_SERIES} SELECT event_id, holed AS x_0, event_type AS kind FROM series")
 def sc4_tracking_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = catalog.list_files(spark, _written_csv(spark, sf_dir), "*.csv")
-    return tracking.read_tracking(spark, listed, ["x_0"]).select(F.col("event_id").cast("long").alias("event_id"), "x_0", "kind")
+    return tracking.read_tracking(spark, _written_csv(spark, sf_dir), ["x_0"]).select(F.col("event_id").cast("long").alias("event_id"), "x_0", "kind")
 
 
 @register("SELECT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, CAST(user_id % 24 + 1 AS INTEGER) AS actor, true AS has_bytes FROM events GROUP BY ALL")

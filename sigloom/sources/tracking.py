@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import na_to_null
@@ -20,39 +20,51 @@ CHANNELS = [*BOX, *LANDMARKS_X, *LANDMARKS_Y, *POSE, *ACTION_UNITS]
 _INDEX = ("", "Unnamed: ")
 
 
-def header_signatures(spark: SparkSession, paths: DataFrame) -> DataFrame:
-    """``header, paths``: the files of each distinct first line.
+def csv_lines(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
+    """``path, at, line, header``: the lines of all files under ``root`` after each one's first.
 
-    Only each file's first line is kept; the driver sees one row per distinct header.
+    ``at`` orders a file's lines, also where the file is split over tasks. Lines meet their
+    header by path, the partitioning that numbering rows needs anyway.
     """
-    first = spark.read.text([r["path"] for r in paths.select("path").toLocalIterator()], wholetext=False).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
-    heads = first.groupBy("path").agg(F.min_by("line", F.struct("block", "at")).alias("header"))
-    return heads.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(root)
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    text = text.select(F.col("_metadata.file_path").alias("path"), at.alias("at"), F.col("value").alias("line"))
+    first = Window.partitionBy("path").orderBy("at")
+    numbered = text.withColumns({"header": F.first("line").over(first), "__n": F.row_number().over(first)})
+    return numbered.where("__n > 1").drop("__n")
 
 
-def read_tracking(spark: SparkSession, paths: DataFrame, channels: list[str], na_tokens: bool = True) -> DataFrame:
+def read_tracking(spark: SparkSession, root: str, channels: list[str], pattern: str = "*.csv", na_tokens: bool = True) -> DataFrame:
     """All files as one table: ``path, row_idx``, the channels as doubles, other columns as text.
 
-    Files are read in groups of equal headers, so that no value moves under another name; leading
-    index columns (blank or ``Unnamed``) give the row order and are dropped. A file without one is
-    numbered in the order its lines are read. Columns that only some files have are null elsewhere.
+    Every line is parsed by its own file's header, so that no value moves under another name;
+    leading index columns (blank or ``Unnamed``) give the row order and are dropped. A file without
+    one is numbered in the order of its lines. Columns that only some files have are null
+    elsewhere. The driver sees the distinct headers, never the files; a line is one row, so quoted
+    line breaks are not supported.
     """
-    parts = []
-    for row in header_signatures(spark, paths).collect():
-        names = row["header"].split(",")
+    lines = csv_lines(spark, root, pattern)
+    headers = [r["header"] for r in lines.select("header").distinct().orderBy("header").collect()]
+    if not headers:
+        raise ValueError("no rows to read")
+    parsed: dict[str, Column] = {}
+    order = F.lit(None).cast("long")
+    for h, header in enumerate(headers):
+        names = next(csv.reader([header]))
         index = [i for i, n in enumerate(names) if n == _INDEX[0] or n.startswith(_INDEX[1])]
-        fields = ", ".join(f"`c{i}` string" for i in range(len(names)))
-        raw = spark.read.schema(fields).option("header", True).option("enforceSchema", True).csv(row["paths"])
-        raw = raw.withColumns({"path": F.col("_metadata.file_path"), "__at": F.monotonically_increasing_id()})
-        value = lambda i, n: (na_to_null(F.col(f"`c{i}`")) if na_tokens else F.col(f"`c{i}`"))
-        kept = [(value(i, n).try_cast("double") if n in channels else value(i, n)).alias(n) for i, n in enumerate(names) if i not in index]
-        order = F.col(f"`c{index[-1]}`").try_cast("long") if index else F.lit(None).cast("long")
-        parts.append(raw.select("path", order.alias("__index"), "__at", *kept))
-    if not parts:
-        raise ValueError("no files to read")
-    table = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    per = Window.partitionBy("path").orderBy(F.col("__index").asc_nulls_first(), "__at")
-    return table.withColumn("row_idx", (F.row_number().over(per) - 1).cast("long")).drop("__index", "__at")
+        own = F.col("header") == header
+        lines = lines.withColumn(f"__{h}", F.when(own, F.from_csv("line", ", ".join(f"c{i} string" for i in range(len(names))))))
+        for i, name in enumerate(names):
+            value = F.col(f"__{h}.c{i}")
+            if i in index:
+                order = F.when(own, value.try_cast("long")).otherwise(order) if i == index[-1] else order
+                continue
+            value = na_to_null(value) if na_tokens else value
+            value = value.try_cast("double") if name in channels else value
+            parsed[name] = F.coalesce(parsed[name], value) if name in parsed else value
+    table = lines.select("path", "at", order.alias("__index"), *[c.alias(n) for n, c in parsed.items()])
+    per = Window.partitionBy("path").orderBy(F.col("__index").asc_nulls_first(), "at")
+    return table.withColumn("row_idx", (F.row_number().over(per) - 1).cast("long")).drop("__index", "at")
 
 
 def write_clips(df: DataFrame, folder: str, codec: str = "zstd") -> None:

@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import ship
+from .batches import by_bytes
 
 Q = 8  # bytes, so that a q-gram is one unsigned 64-bit number
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\r\v\f" else b for b in range(256))
@@ -181,19 +183,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     ship(docs.sparkSession)
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") >= Q)
-    out = None
+    item_type, out = to_arrow_type(benchmark.schema[item_id_col].dataType), None
     for block in _blocks(benchmark, item_id_col, item_text_col, block_bytes):
 
         def find(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = Index.build(block, rate)
-            item_type = None
-            for batch in batches:
+            for batch in by_bytes(batches, 1):
                 ids = batch.column(0).to_pylist()
-                for lo, texts in _slices(batch.column(1).to_pylist()):
-                    hits = [(ids[lo + r], index.ids[i], e, s, t) for r, i, e, s, t in matches([folded(x) for x in texts], index)]
-                    if hits:
-                        a, b, *rest = zip(*hits)
-                        yield pa.RecordBatch.from_arrays([pa.array(a, batch.column(0).type), pa.array(b, item_type), *[pa.array(x, pa.int64()) for x in rest]], ["id", "item", "edits", "start_byte", "end_byte"])
+                hits = [(ids[r], index.ids[i], e, s, t) for r, i, e, s, t in matches([folded(x) for x in batch.column(1).to_pylist()], index)]
+                if hits:
+                    a, b, *rest = zip(*hits)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, batch.column(0).type), pa.array(b, item_type), *[pa.array(x, pa.int64()) for x in rest]], ["id", "item", "edits", "start_byte", "end_byte"])
 
         part = rows.mapInArrow(find, f"id {kinds[0]}, item {kinds[1]}, edits long, start_byte long, end_byte long")
         out = part if out is None else out.unionAll(part)
@@ -212,24 +212,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = Index.build(block, rate)
-            for batch in batches:
+            for batch in by_bytes(batches, place):
                 clean = np.ones(batch.num_rows, bool)
-                for lo, texts in _slices(batch.column(place).to_pylist()):
-                    for r, *_ in matches([folded(x) for x in texts], index):
-                        clean[lo + r] = False
+                for r, *_ in matches([folded(x) for x in batch.column(place).to_pylist()], index):
+                    clean[r] = False
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(keep, docs.schema)
     return docs
-
-
-def _slices(texts: list[str | None], most: int = 1 << 22) -> Iterator[tuple[int, list]]:
-    """Neighbouring texts of about ``most`` characters together, each with its first row."""
-    start = size = 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
-        if size >= most:
-            yield start, texts[start : k + 1]
-            start, size = k + 1, 0
-    if start < len(texts):
-        yield start, texts[start:]

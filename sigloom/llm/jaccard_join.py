@@ -3,8 +3,8 @@
 1. Each text becomes a set of hashed shingles. Rows with equal sets are one vertex.
 2. Candidates: sets are cut into parts by hash, into more parts than two linked sets can differ
    in, so that linked sets agree in a whole part. Agreeing sets form candidate components.
-3. Each candidate component is joined in one task (a large one in several, block against block)
-   on an inverted list with blocks by position, skipping what known answers already decide.
+3. Each candidate component is joined in one task (a large one in blocks) on an inverted list
+   with blocks by position, skipping what known answers already decide.
 """
 
 from __future__ import annotations
@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settled, ship
+from .batches import by_bytes
 from .graph import components
 from .shingles import mixed, shingle_sets
 
 _K1, _K2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _ALL = (1 << 64) - 1
+_SHINGLE_BYTES = 6  # about a word and its blank
 
 
 class Threshold:
@@ -198,7 +200,7 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, buckets: int = 0, group_bytes: int = 8 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, buckets: int = 0, group_bytes: int = 4 << 20
 ) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``.
 
@@ -208,8 +210,10 @@ def jaccard_components(
     with each other. An empty table gives no rows; other columns are not read.
 
     Sets are identified by 64-bit hashes of 64-bit shingle hashes. A candidate component over
-    ``group_bytes`` of text is joined block against block, each pair of blocks in its own group,
-    so that no task holds more than two blocks.
+    ``group_bytes`` of text is cut into blocks, each joined by itself and with one leading set;
+    then what is not connected to the leader is joined with every block. Sets that are alike, as
+    in a large group of near copies, so cost a group's size and not its square, and no task holds
+    more than two blocks.
     """
     spark = ship(docs.sparkSession)
     t = threshold or Threshold()
@@ -217,7 +221,7 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             n, v = [], []
             for own in shingle_sets(batch.column(1).to_pylist(), words):
                 n.append(len(own))
@@ -225,11 +229,11 @@ def jaccard_components(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["id", "n", "v"])
 
     sets = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long"), "sets")
-    buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()  # sets of this task: copies give the same signatures
-        for batch in batches:
+        for batch in by_bytes(batches, 0, 8 << 20):
             found, owner = [], []
             for own in shingle_sets(batch.column(0).to_pylist(), words):
                 if len(own) and (v := vertex(own)) not in met:
@@ -266,34 +270,52 @@ def jaccard_components(
     # One document stands for each candidate vertex; its text goes to its component's group.
     one = sets.where("v is not null").groupBy("v").agg(F.min("id").alias("id"), F.min("n").alias("n"))
     chosen = one.join(candidates, "v").select("id", "v", "n", "c")
-    sized = chosen.groupBy("c").agg(F.sum("n").alias("total"))
-    total = settled(sized, "sized")
-    shingle_bytes = 6  # about a word and its blank
-    limit = max(1, group_bytes // shingle_bytes)
-    groups = max(1, -(-(total.agg(F.sum("total")).first()[0] or 0) // limit))
-    blocks = F.ceil(F.col("total") / limit).cast("int")
-    plan = chosen.join(total, "c").withColumn("blocks", blocks)
-    plan = plan.withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks").cast("long")).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(F.col("block"), j) * F.col("blocks") + F.greatest(F.col("block"), j))
-    plan = plan.select("id", "v", "c", "block", "blocks", F.explode(pair).alias("pair"))
-    plan = plan.withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("c"), F.lit(groups))).otherwise(F.col("c"))).withColumn("pair", F.when(F.col("blocks") == 1, -1).otherwise(F.col("pair")))
-    texts = plan.join(rows, "id").select("g", "pair", "c", "v", "block", "text")
+    sized = settled(chosen.groupBy("c").agg(F.sum("n").alias("total"), F.min("v").alias("leader")), "sized")
+    limit = max(1, group_bytes // _SHINGLE_BYTES)
+    groups = max(1, -(-(sized.agg(F.sum("total")).first()[0] or 0) // limit))
+    sized = sized.withColumn("blocks", F.ceil(F.col("total") / limit).cast("int"))
+    block = F.pmod(F.xxhash64("v"), F.col("blocks").cast("long")).cast("int")
+    plan = settled(chosen.join(sized, "c").withColumn("block", block), "plan")
+    small = plan.where("blocks = 1").select("id", "v", "c", F.pmod(F.xxhash64("c"), F.lit(groups)).alias("g"), F.lit(-1).alias("part"), F.lit(0).alias("side"))
 
     def verify(table: pa.Table) -> pa.Table:
-        by: dict[int, dict[int, tuple]] = defaultdict(dict)
-        for c, v, block, own in zip(*(table.column(x).to_pylist() for x in ("c", "v", "block")), shingle_sets(table.column("text").to_pylist(), words)):
-            if v not in by[c] and len(own) and vertex(own) == v:  # not so where an id is repeated
-                by[c][v] = block, own
+        by: dict[int, dict[tuple, tuple]] = defaultdict(dict)
+        for c, v, side, own in zip(*(table.column(x).to_pylist() for x in ("c", "v", "side")), shingle_sets(table.column("text").to_pylist(), words)):
+            if (v, side) not in by[c] and len(own) and vertex(own) == v:  # not so where an id is repeated
+                by[c][v, side] = own
         links: list[tuple[int, int]] = []
         for group in by.values():
             vs = list(group)
-            sides = [group[v][0] for v in vs]
-            found = join_sets([group[v][1] for v in vs], t, sides if len(set(sides)) > 1 else None)
-            links += [(vs[i], vs[j]) for i, j in found]
+            sides = [side for _, side in vs]
+            found = join_sets([group[k] for k in vs], t, sides if len(set(sides)) > 1 else None)
+            links += [(vs[i][0], vs[j][0]) for i, j in found if vs[i][0] != vs[j][0]]
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    linked = components(texts.groupBy("g", "pair").applyInArrow(verify, "a long, b long"))
+    def linked_in(plan: DataFrame) -> DataFrame:
+        texts = plan.join(rows, "id").select("g", "part", "c", "v", "side", "text")
+        return texts.groupBy("g", "part").applyInArrow(verify, "a long, b long")
+
+    # A large component: each block by itself and with the leader, which links what is alike.
+    large = plan.where("blocks > 1")
+    if large.isEmpty():
+        linked = components(linked_in(small))
+    else:
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        blocks = large.select("id", "v", "c", F.col("c").alias("g"), F.col("block").alias("part"), F.lit(0).alias("side"))
+        leaders = large.where("v = leader").select("id", "v", "c", F.col("c").alias("g"), every.alias("part"), F.lit(0).alias("side"))
+        links = settled(linked_in(small.unionAll(blocks).unionAll(leaders)), "links")
+        # Only what the leader did not reach can still lack a link: that against all blocks.
+        label = components(links)
+        of = large.join(label.select("v", F.col("c").alias("own")), "v", "left").withColumn("own", F.coalesce("own", "v"))
+        led = of.where("v = leader").select("c", F.col("own").alias("led"))
+        apart = settled(of.join(led, "c").where("own <> led"), "apart")
+        parts = apart.groupBy("c").agg(F.ceil(F.sum("n") / limit).cast("int").alias("parts"))
+        rest = apart.join(parts, "c").withColumn("r", F.pmod(F.xxhash64("v", F.lit(1)), F.col("parts").cast("long")).cast("int"))
+        one_side = rest.select("id", "v", "c", F.col("c").alias("g"), "r", "blocks", every.alias("b")).select("id", "v", "c", "g", (F.col("r") * F.col("blocks") + F.col("b")).alias("part"), F.lit(0).alias("side"))
+        met = large.join(parts, "c").select("id", "v", "c", F.col("c").alias("g"), "block", "blocks", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("r"))
+        met = met.select("id", "v", "c", "g", (F.col("r") * F.col("blocks") + F.col("block")).alias("part"), F.lit(1).alias("side"))
+        linked = components(links.unionAll(linked_in(one_side.unionAll(met))))
     rooted = one.join(linked, "v", "left").select("v", "id", F.coalesce("c", "v").alias("root"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     place = rooted.join(least, "root").select("v", "component_id")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
+from .batches import by_bytes
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -78,7 +79,7 @@ def predict_languages(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(model, margin, level, chunk_bytes)
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             langs, scores, rejected = zip(*map(judge, batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["id", "lang_pred", "score", "rejected"])
 
@@ -93,7 +94,7 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = "text
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(model, margin, level, chunk_bytes)
-        for batch in batches:
+        for batch in by_bytes(batches, place):
             yield batch.filter(pa.array([not judge(t)[2] for t in batch.column(place).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import bpe
+from .batches import by_bytes
 
 _SEQUENCES = 33  # low bits of a sequence id that number a task's sequences
 
@@ -120,7 +121,7 @@ def pack_documents(
             rests = []
 
         id_type = None
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             id_type = batch.column(0).type
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

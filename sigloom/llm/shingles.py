@@ -29,7 +29,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def _slices(raws: list[bytes], most: int = 1 << 21) -> Iterator[list[bytes]]:
+def _slices(raws: list[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
     part, size = [], 0
     for r in raws:
         part.append(r)

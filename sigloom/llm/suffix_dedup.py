@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settled, ship
+from .batches import by_bytes
 from .shingles import _power, mixed
 
 _Q = 64
@@ -176,15 +177,8 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), F.encode(text, "UTF-8").alias("raw")).where(F.octet_length("raw") >= least)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raws, found = batch.column(2).to_pylist(), []
-            start = size = 0
-            for k, r in enumerate(raws):
-                size += len(r)
-                if size >= 1 << 19 or k + 1 == len(raws):
-                    found += runs(raws[start : k + 1], least)
-                    start, size = k + 1, 0
-            h, c, a, n = zip(*found) if found else ((), (), (), ())
+        for batch in by_bytes(batches, 2, 1 << 19):
+            h, c, a, n = zip(*runs(batch.column(2).to_pylist(), least))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, pa.list_(pa.int64())) for x in (h, c)], *[pa.array(x, pa.list_(pa.int32())) for x in (a, n)]], ["id", "t", "h", "c", "a", "n"])
 
     lists = rows.mapInArrow(cut, f"id {kind}, t long, h array<long>, c array<long>, a array<int>, n array<int>")
@@ -204,7 +198,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     wanted = plan.groupBy("id", "t").agg(F.collect_list(F.struct("h", "c", "many", "blocks", "a", "n")).alias("wanted"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             out = []
             for i, raw, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 out += [(w["h"], w["c"], w["many"], w["blocks"], i, w["a"], raw[w["a"] : w["a"] + w["n"] - 1 + least]) for w in own]
@@ -254,7 +248,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), F.encode(text, "UTF-8").alias("raw"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             out = []
             for raw, own in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 kept, at, n_spans = [], 0, 0

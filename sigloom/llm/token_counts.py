@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import bpe
+from .batches import by_bytes
 
 #: Between two words: a character that is no white space, then one blank and no white space.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -63,7 +64,7 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = bpe.encoder(path)
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             parts: list[str] = []
             owner: list[int] = []
             n_bytes = batch.column(2).to_pylist()

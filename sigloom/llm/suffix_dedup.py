@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settled, ship
@@ -127,6 +127,14 @@ def suffix_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
     return active, rank[active]
 
 
+def start_hashes(raw: bytes, least: int) -> np.ndarray:
+    """A 64-bit hash of the ``least`` bytes at every start."""
+    power, inverse = _power(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
+    return mixed((sums[least:] - sums[:-least]) * inverse[: len(raw) - least + 1]).view(np.int64)
+
+
 def previous_factors(places: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """For places in suffix order: the previous smaller place in that order with the same class, or -1.
 
@@ -186,31 +194,37 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     # By q-gram: how many runs, whether all alike, whether one may repeat within itself.
     seen = flat.groupBy("h").agg(F.count("*").alias("runs"), F.min("c").alias("c_min"), F.max("c").alias("c_max"), F.min("n").alias("n_min"))
     seen = seen.where("runs > 1 or n_min < 0").select("h", ((F.col("c_min") == F.col("c_max")) & (F.col("runs") > 1)).alias("alike"))
-    told = settled(flat.join(seen, "h").withColumn("n", F.abs("n")), "told")
+    # Written first, the counts are a plain side of the join, whose hot keys Spark can then split.
+    told = settled(flat.join(settled(seen, "seen"), "h").withColumn("n", F.abs("n")), "told")
 
     # Of differing runs, one of each kind gives its bytes, the first by id and place.
     kinds = told.where("not alike").groupBy("h", "c").agg(F.min(F.struct("id", "a", "t", "n")).alias("first"), F.count("*").alias("many"))
     kinds = settled(kinds.select("h", "c", "many", "first.*"), "kinds")
-    per = kinds.groupBy("h").agg(F.sum(F.col("n") + least).alias("bytes"))
+    per = settled(kinds.groupBy("h").agg(F.sum(F.col("n") + least).alias("bytes")), "per")
     total = per.agg(F.sum("bytes")).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
     plan = kinds.join(per, "h").withColumn("blocks", F.ceil(F.col("bytes") / group_bytes).cast("int"))
     wanted = plan.groupBy("id", "t").agg(F.collect_list(F.struct("h", "c", "many", "blocks", "a", "n")).alias("wanted"))
+    wanted = wanted.withColumnsRenamed({"id": "wanted_id", "t": "wanted_t"})
+    found = rows.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("t") == F.col("wanted_t"))).select("id", "raw", "wanted")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.int64(), pa.int64(), pa.int64(), None, pa.int32(), pa.binary(), pa.list_(pa.int64()))
         for batch in by_bytes(batches, 1):
             out = []
             for i, raw, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                out += [(w["h"], w["c"], w["many"], w["blocks"], i, w["a"], raw[w["a"] : w["a"] + w["n"] - 1 + least]) for w in own]
+                for w in own:
+                    part = raw[w["a"] : w["a"] + w["n"] - 1 + least]
+                    often = w["blocks"] > 1
+                    out.append((w["h"], w["c"], w["many"], i, w["a"], None if often else part, start_hashes(part, least) if often else None))
             if out:
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), batch.column(0).type, pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), types)], ["h", "c", "many", "blocks", "id", "a", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, k or batch.column(0).type) for x, k in zip(zip(*out), types)], ["h", "c", "many", "id", "a", "bytes", "starts"])
 
-    found = rows.join(wanted.withColumnsRenamed({"id": "wanted_id", "t": "wanted_t"}), F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("t") == F.col("wanted_t")))
-    got = found.select("id", "raw", "wanted").mapInArrow(fetch, f"h long, c long, many long, blocks int, id {kind}, a int, bytes binary")
-    got = got.withColumn("block", F.pmod(F.col("c"), F.col("blocks").cast("long")).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(F.col("block"), j) * F.col("blocks") + F.greatest(F.col("block"), j))
-    got = got.withColumn("pair", F.explode(pair)).withColumn("g", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("h"), F.lit(groups))).otherwise(F.col("h"))).withColumn("pair", F.when(F.col("blocks") == 1, -1).otherwise(F.col("pair")))
+    schema = f"h long, c long, many long, id {kind}, a int, bytes binary, starts array<long>"
+    got = found.mapInArrow(fetch, schema)
+    common = not plan.where("blocks > 1").isEmpty()
+    if common:  # two readers
+        got = settled(got, "contents")
 
     def compare(table: pa.Table) -> pa.Table:
         rows = list({(r["h"], r["c"]): r for r in table.to_pylist()}.values())
@@ -219,7 +233,10 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
         h, c, a, b = zip(*found) if found else ((), (), (), ())
         return pa.table({"h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "from": pa.array(a, pa.int32()), "to": pa.array(b, pa.int32())})
 
-    ranges = got.select("g", "pair", "h", "c", "many", "id", "a", "bytes").groupBy("g", "pair").applyInArrow(compare, "h long, c long, `from` int, `to` int")
+    grouped = got.where("bytes is not null").select(F.pmod(F.xxhash64("h"), F.lit(groups)).alias("g"), "h", "c", "many", "id", "a", "bytes")
+    ranges = grouped.groupBy("g").applyInArrow(compare, "h long, c long, `from` int, `to` int")
+    if common:
+        ranges = ranges.unionAll(_common_ranges(got.where("starts is not null"), least, keep_first))
     differ = told.where("not alike").join(ranges, ["h", "c"]).select("id", "t", "a", "n", "h", "c", (F.col("a") + F.col("from")).alias("start"), (F.col("a") + F.col("to")).alias("end"))
     whole = told.where("alike").select("id", "t", "a", "n", "h", "c", F.col("a").alias("start"), (F.col("a") + F.col("n") - 1 + least).alias("end"))
     if keep_first:
@@ -230,7 +247,31 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     return differ.unionAll(whole).select("id", "t", "start", "end")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, keep_first: bool = True, with_text: bool = False) -> DataFrame:
+def _common_ranges(runs: DataFrame, least: int, keep_first: bool) -> DataFrame:
+    """What repeats among runs of q-grams that are too common for one group: ``h, c, from, to``.
+
+    Their starts are matched by hash. Tasks combine equal hashes before the shuffle, and the way
+    back is a plain join, so a passage that a third of all texts share loads no single task.
+    """
+    starts = runs.select("h", "c", "many", "id", "a", F.posexplode("starts").alias("at", "w"))
+    place = F.struct("id", F.col("a") + F.col("at"))
+    seen = starts.groupBy("w").agg(F.sum("many").alias("times"), F.min(place).alias("first")).where("times > 1")
+    hits = starts.join(seen, "w")
+    if keep_first:
+        hits = hits.where(~place.eqNullSafe(F.col("first")))
+    ends = hits.groupBy("h", "c").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    empty = F.array().cast("array<struct<from:int,to:int>>")
+    begin = F.struct(empty.alias("out"), F.lit(-1).alias("from"), F.lit(-1).alias("to"))
+    closed = lambda acc: F.when(acc["from"] < 0, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["from"].alias("from"), acc["to"].alias("to")))))
+
+    def step(acc: Column, at: Column) -> Column:
+        goes_on = at <= acc["to"]
+        return F.struct(F.when(goes_on, acc["out"]).otherwise(closed(acc)).cast("array<struct<from:int,to:int>>").alias("out"), F.when(goes_on, acc["from"]).otherwise(at).alias("from"), (at + least).alias("to"))
+
+    return ends.select("h", "c", F.inline(F.aggregate("at", begin, step, closed))).select("h", "c", "from", "to")
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, keep_first: bool = True, with_text: bool = False, group_bytes: int = 3 << 19) -> DataFrame:
     """One row per input row: id, ``n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept_bytes``).
 
     Texts are UTF-8 bytes. A byte goes if a string of ``least`` bytes covers it that also starts
@@ -241,7 +282,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (``keep_first`` spares all rows that repeat the first one's id and text). Null ids come
     first. An empty table gives no rows; other columns are not read.
     """
-    spans = repeated_spans(docs, id_col, text_col, least, keep_first)
+    spans = repeated_spans(docs, id_col, text_col, least, keep_first, group_bytes)
     spans = spans.groupBy("id", "t").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))

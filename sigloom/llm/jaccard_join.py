@@ -317,7 +317,7 @@ def jaccard_components(
         met = met.select("id", "v", "c", "g", (F.col("r") * F.col("blocks") + F.col("block")).alias("part"), F.lit(1).alias("side"))
         linked = components(links.unionAll(linked_in(one_side.unionAll(met))))
     rooted = one.join(linked, "v", "left").select("v", "id", F.coalesce("c", "v").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
+    least = settled(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "least")  # a plain join side, whose hot keys can be split
     place = rooted.join(least, "root").select("v", "component_id")
     out = sets.join(place, "v", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("v").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -11,7 +11,7 @@ from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
 from .language_id import fit_languages, predict_languages
 from .packing import pack_documents
-from .secret_scan import secret_spans
+from .secret_scan import ALLOWED, BASE, CANDIDATE, CLASSES, KINDS, WINDOW, secret_spans
 from .sharding import kd_shards
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
@@ -87,7 +87,55 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op3_suffix_dedup, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts)}
 
+def _found_sql(name: str, kind: int, pattern: str, group: int, least: int) -> str:
+    """``name(doc_id, s, kind, e, whole)``: matches with positions, for DuckDB."""
+    quoted = pattern.replace("'", "''")
+    return f"""{name} AS (
+        SELECT doc_id, {kind} AS kind, place AS s, place + length(whole) AS e, whole FROM (
+            SELECT doc_id, whole, part, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(wholes[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS place FROM (
+                SELECT doc_id, gaps, wholes, unnest(wholes) AS whole, unnest(parts) AS part, generate_subscripts(wholes, 1) AS i FROM (
+                    SELECT doc_id, string_split_regex(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}') AS wholes, regexp_extract_all(text, '{quoted}', {group}) AS parts
+                    FROM texts WHERE regexp_matches(text, '{quoted}'))))
+        WHERE length(part) >= {least})"""
+
+
+def _secret_sql() -> str:
+    base = [_found_sql(kind, k, pattern, group, least) for k, (kind, pattern, group, least) in enumerate(BASE)]
+    allowed = " OR ".join(f"regexp_matches(whole, '{p}')" for p in ALLOWED if "\\1" not in p)
+    least = " ".join(f"WHEN regexp_matches(whole, '{p}') THEN {v}" for p, v in CLASSES)
+    names = ", ".join(f"'{k}'" for k in KINDS)
+    write = lambda rows: f"coalesce(string_agg(([{names}])[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind, e){rows}, '')"
+    return f"""
+        WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        {", ".join(base)},
+        {_found_sql("candidate", 3, CANDIDATE, 0, 1)},
+        hot AS (
+            SELECT doc_id, s, whole, CASE {least} END AS least FROM candidate
+            WHERE NOT ({allowed}) AND len(list_filter(list_distinct(string_split(whole, '')), lambda c: contains(whole, repeat(c, 8)))) = 0),
+        windows AS (SELECT doc_id, s, unnest(list_filter(range(0, length(whole) - {WINDOW - 1}), lambda i: list_aggregate(string_split(substr(whole, i + 1, {WINDOW}), ''), 'entropy') >= least)) AS i FROM hot),
+        spans AS (
+            SELECT doc_id, kind, s, e FROM assign UNION ALL SELECT doc_id, kind, s, e FROM access UNION ALL SELECT doc_id, kind, s, e FROM hex
+            UNION ALL SELECT doc_id, 3, s + min(i), s + max(i) + {WINDOW} FROM windows GROUP BY doc_id, s)
+        SELECT t.doc_id, {", ".join(f"count(*) FILTER (kind = {k}) AS n_{n}" for k, n in enumerate(KINDS))},
+               sha256({write(" FILTER (kind < 3)")}) AS base_sha256, {write(" FILTER (kind IS NOT NULL)")} AS spans
+        FROM texts t LEFT JOIN spans ON t.doc_id = spans.doc_id GROUP BY t.doc_id
+    """
+
+
 ORACLE_SQL = {
+    "op4_secret_scan": _secret_sql(),
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s FROM words),
+        tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+        reach AS (SELECT a AS doc_id, a AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.least_id, s.doc_id)) AS component_id
+        FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) m ON m.doc_id = s.doc_id
+    """,
     "op5_chat_format": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

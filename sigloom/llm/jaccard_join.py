@@ -275,8 +275,8 @@ def jaccard_components(
     groups = max(1, -(-(sized.agg(F.sum("total")).first()[0] or 0) // limit))
     sized = sized.withColumn("blocks", F.ceil(F.col("total") / limit).cast("int"))
     block = F.pmod(F.xxhash64("v"), F.col("blocks").cast("long")).cast("int")
-    plan = settled(chosen.join(sized, "c").withColumn("block", block), "plan")
-    small = plan.where("blocks = 1").select("id", "v", "c", F.pmod(F.xxhash64("c"), F.lit(groups)).alias("g"), F.lit(-1).alias("part"), F.lit(0).alias("side"))
+    plan = settled(chosen.join(sized, "c").withColumn("block", block).join(rows, "id").drop("id", "total"), "plan")
+    small = plan.where("blocks = 1").select(F.pmod(F.xxhash64("c"), F.lit(groups)).alias("g"), F.lit(-1).alias("part"), "c", "v", F.lit(0).alias("side"), "text")
 
     def verify(table: pa.Table) -> pa.Table:
         by: dict[int, dict[tuple, tuple]] = defaultdict(dict)
@@ -292,9 +292,8 @@ def jaccard_components(
         a, b = zip(*links) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    def linked_in(plan: DataFrame) -> DataFrame:
-        texts = plan.join(rows, "id").select("g", "part", "c", "v", "side", "text")
-        return texts.groupBy("g", "part").applyInArrow(verify, "a long, b long")
+    def linked_in(groups: DataFrame) -> DataFrame:
+        return groups.groupBy("g", "part").applyInArrow(verify, "a long, b long")
 
     # A large component: each block by itself and with the leader, which links what is alike.
     large = plan.where("blocks > 1")
@@ -302,20 +301,19 @@ def jaccard_components(
         linked = components(linked_in(small))
     else:
         every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        blocks = large.select("id", "v", "c", F.col("c").alias("g"), F.col("block").alias("part"), F.lit(0).alias("side"))
-        leaders = large.where("v = leader").select("id", "v", "c", F.col("c").alias("g"), every.alias("part"), F.lit(0).alias("side"))
+        blocks = large.select(F.col("c").alias("g"), F.col("block").alias("part"), "c", "v", F.lit(0).alias("side"), "text")
+        leaders = large.where("v = leader").select(F.col("c").alias("g"), every.alias("part"), "c", "v", F.lit(0).alias("side"), "text")
         links = settled(linked_in(small.unionAll(blocks).unionAll(leaders)), "links")
         # Only what the leader did not reach can still lack a link: that against all blocks.
-        label = components(links)
-        of = large.join(label.select("v", F.col("c").alias("own")), "v", "left").withColumn("own", F.coalesce("own", "v"))
-        led = of.where("v = leader").select("c", F.col("own").alias("led"))
-        apart = settled(of.join(led, "c").where("own <> led"), "apart")
-        parts = apart.groupBy("c").agg(F.ceil(F.sum("n") / limit).cast("int").alias("parts"))
-        rest = apart.join(parts, "c").withColumn("r", F.pmod(F.xxhash64("v", F.lit(1)), F.col("parts").cast("long")).cast("int"))
-        one_side = rest.select("id", "v", "c", F.col("c").alias("g"), "r", "blocks", every.alias("b")).select("id", "v", "c", "g", (F.col("r") * F.col("blocks") + F.col("b")).alias("part"), F.lit(0).alias("side"))
-        met = large.join(parts, "c").select("id", "v", "c", F.col("c").alias("g"), "block", "blocks", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("r"))
-        met = met.select("id", "v", "c", "g", (F.col("r") * F.col("blocks") + F.col("block")).alias("part"), F.lit(1).alias("side"))
-        linked = components(links.unionAll(linked_in(one_side.unionAll(met))))
+        own = large.select("c", "v", "n", "leader").join(components(links).withColumnRenamed("c", "own"), "v", "left").withColumn("own", F.coalesce("own", "v"))
+        led = settled(own.where("v = leader").select("c", F.col("own").alias("led")), "led")
+        apart = settled(own.join(led, "c").where("own <> led").select("c", "v", "n"), "apart")
+        parts = settled(apart.groupBy("c").agg(F.ceil(F.sum("n") / limit).cast("int").alias("parts")), "parts")
+        rest = large.join(apart.select("v"), "v").join(parts, "c").withColumn("r", F.pmod(F.xxhash64("v", F.lit(1)), F.col("parts").cast("long")).cast("int"))
+        rest = rest.select("c", "v", "text", "r", "blocks", every.alias("b"))
+        met = large.join(parts, "c").select("c", "v", "text", "block", "blocks", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("r"))
+        pair = lambda df, b, side: df.select(F.col("c").alias("g"), (F.col("r") * F.col("blocks") + F.col(b)).alias("part"), "c", "v", F.lit(side).alias("side"), "text")
+        linked = components(links.unionAll(linked_in(pair(rest, "b", 0).unionAll(pair(met, "block", 1)))))
     rooted = one.join(linked, "v", "left").select("v", "id", F.coalesce("c", "v").alias("root"))
     least = settled(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "least")  # a plain join side, whose hot keys can be split
     place = rooted.join(least, "root").select("v", "component_id")

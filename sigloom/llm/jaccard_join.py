@@ -9,6 +9,8 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -69,28 +71,48 @@ def vertex(sets: np.ndarray) -> int:
     return int(mixed(np.array([total & _ALL], np.uint64)).view(np.int64)[0])
 
 
-def signatures(own: np.ndarray, t: Threshold) -> np.ndarray:
+@functools.cache
+def slack_for(d: int, low: int) -> int:
+    """Parts to add to ``d + 1`` so that sets of ``low`` elements or more seldom have as many empty ones."""
+    slack = 1
+    while slack < d:
+        parts = d + 1 + slack
+        empty = parts * math.exp(-low / parts)
+        if slack >= empty + 3 * math.sqrt(empty):
+            break
+        slack += 1
+    return slack
+
+
+def signatures(own: np.ndarray, t: Threshold, common: np.ndarray) -> np.ndarray:
     """Hashes of which two linked, unequal sets share one at least.
 
     For a class whose sets differ in up to d elements there are ``d + 1 + slack`` parts, so linked
-    sets agree in ``slack + 1`` parts. Empty parts agree too often to be of use and are left out.
-    A set with more than ``slack`` empty parts, which may agree with another in those alone,
-    gives the elements of its prefix as well, of which linked sets share one.
+    sets agree in ``slack + 1`` parts. Elements in ``common`` (sorted) are left out of the parts of
+    every set, which lets no two sets differ in more of them, but keeps texts apart that only
+    share a well-known passage. Empty parts agree too often to be of use and are left out. A set
+    with more than ``slack`` empty parts, which may agree with another in those alone, gives the
+    elements of its prefix as well, of which linked sets share one; common ones come last there.
     """
     out, n, sparse = [], len(own), False
+    known = np.zeros(n, bool)
+    if len(common):
+        known = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+    rare = own[~known]
     for k, top in t.size_class(n):
         d = t.differing(top)
         if not d:
             continue
-        slack = 1 + d // 25
+        slack = slack_for(d, t.smallest(t.smallest(top)))
         parts = np.uint64(d + 1 + slack)
-        part = ((own >> np.uint64(32)) * parts) >> np.uint64(32)
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        sums = np.add.reduceat(mixed(own ^ _K1), first)
-        out.append(mixed(sums + part[first] * _K1 + np.uint64(k * int(_K2) & _ALL)))
+        part = ((rare >> np.uint64(32)) * parts) >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])[: len(rare)])
+        if len(first):
+            sums = np.add.reduceat(mixed(rare ^ _K1), first)
+            out.append(mixed(sums + part[first] * _K1 + np.uint64(k * int(_K2) & _ALL)))
         sparse |= int(parts) - len(first) > slack
     if sparse:
-        out.append(mixed(own[: t.prefix(n)] + _K2))
+        out.append(mixed(np.concatenate([rare, own[known]])[: t.prefix(n)] + _K2))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -200,7 +222,7 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, buckets: int = 0, group_bytes: int = 4 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, buckets: int = 0, group_bytes: int = 4 << 20, most_common: int = 1 << 17
 ) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``.
 
@@ -231,6 +253,17 @@ def jaccard_components(
     sets = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long"), "sets")
     buckets = buckets or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, 0, 12 << 20):
+            found = [own for own in shingle_sets(batch.column(0).to_pylist(), words) if len(own)]
+            if found:
+                h, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[n > 2].view(np.int64)), pa.array(n[n > 2].astype(np.int64))], ["h", "n"])
+
+    # Well-known shingles only steer how sets are dealt out, so a bounded list of the most common will do.
+    counted = rows.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    common = np.sort(np.array([r["h"] for r in counted.orderBy(F.desc("n"), "h").limit(most_common).collect()], np.int64).view(np.uint64))
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()  # sets of this task: copies give the same signatures
         for batch in by_bytes(batches, 0, 8 << 20):
@@ -238,7 +271,7 @@ def jaccard_components(
             for own in shingle_sets(batch.column(0).to_pylist(), words):
                 if len(own) and (v := vertex(own)) not in met:
                     met.add(v)
-                    s = signatures(own, t)
+                    s = signatures(own, t, common)
                     found.append(s)
                     owner.append(np.full(len(s), v, np.int64))
             if len(met) > 1 << 20:

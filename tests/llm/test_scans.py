@@ -239,16 +239,18 @@ def test_jaccard_on_documents(spark, sf_dir):
     assert {r[0]: tuple(r[1:]) for r in queries.op9_jaccard_join(spark, sf_dir).collect()} == brute.jaccard_components(rows, 4)
 
 
-def test_linked_sets_share_a_signature():
-    rng, t = np.random.default_rng(7), jaccard_join.Threshold(85, 100)
+@pytest.mark.parametrize("share", [85, 80])
+def test_linked_sets_share_a_signature(share):
+    rng, t = np.random.default_rng(7), jaccard_join.Threshold(share, 100)
     for n in [*range(1, 60), 100, 333, 1000]:
         a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
         for _ in range(6):
             gone = rng.integers(0, max(1, n // 6) + 1)
             b = np.unique(np.concatenate([rng.permutation(a)[gone:], rng.integers(0, 1 << 63, rng.integers(0, n // 8 + 1)).astype(np.uint64)]))
             both = len(np.intersect1d(a, b))
-            if 0 < len(b) and 100 * both >= 85 * (len(a) + len(b) - both) and both < max(len(a), len(b)):
-                assert set(jaccard_join.signatures(a, t)) & set(jaccard_join.signatures(b, t))
+            if 0 < len(b) and 100 * both >= share * (len(a) + len(b) - both) and both < max(len(a), len(b)):
+                common = np.sort(rng.permutation(a)[: int(n * rng.choice([0, 0.1, 0.9, 1]))])
+                assert set(jaccard_join.signatures(a, t, common)) & set(jaccard_join.signatures(b, t, common))
 
 
 def test_jaccard_edges(edges, nothing):

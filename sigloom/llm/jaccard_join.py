@@ -251,7 +251,8 @@ def jaccard_components(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["id", "n", "v"])
 
     sets = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long"), "sets")
-    buckets = buckets or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # A linked pair meets in most of up to 128 buckets already, so its rows do not grow with their number.
+    buckets = buckets or max(128, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 0, 12 << 20):

@@ -1,4 +1,4 @@
-"""Digital filters as matrices, so that a whole clip is filtered by one product."""
+"""Digital filters on frames x channels matrices, in blocks of fixed size whatever the length."""
 
 from __future__ import annotations
 
@@ -25,14 +25,37 @@ def steady_state(b: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.linalg.solve(np.eye(n) - step, b[1:] - a[1:] * b[0])
 
 
-def run_filter(b: np.ndarray, a: np.ndarray, x: np.ndarray, state: np.ndarray) -> np.ndarray:
-    """The transposed direct form, one row after the other; columns are series of their own."""
+_BLOCK = 64
+
+
+@functools.lru_cache(maxsize=16)
+def block_filter(order: int, cutoff: float, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_BLOCK`` rows of the transposed direct form do, as two matrices of fixed size.
+
+    Both act on the inner state followed by the block's rows: the first gives the rows that come
+    out, the second's row k the inner state after k rows. The recursion runs once, on unit vectors.
+    """
+    b, a = butterworth(order, cutoff, rate)
+    unit = np.eye(order + _BLOCK)
+    z = np.vstack([unit[:order], np.zeros((1, len(unit)))])
+    out, states = np.empty((_BLOCK, len(unit))), np.empty((_BLOCK + 1, order, len(unit)))
+    states[0] = z[:-1]
+    for i, row in enumerate(unit[order:]):
+        out[i] = b[0] * row + z[0]
+        z[:-1] = b[1:, None] * row + z[1:] - a[1:, None] * out[i]
+        states[i + 1] = z[:-1]
+    return out, states
+
+
+def run_filter(x: np.ndarray, state: np.ndarray, order: int, cutoff: float, rate: float) -> np.ndarray:
+    """The low-pass over the rows of ``x``, block by block; columns are series of their own."""
+    rows, states = block_filter(order, cutoff, rate)
     out = np.empty_like(x)
-    z = np.vstack([state, np.zeros((1, x.shape[1]))])
-    for i, row in enumerate(x):
-        y = b[0] * row + z[0]
-        z[:-1] = b[1:, None] * row + z[1:] - a[1:, None] * y
-        out[i] = y
+    for i in range(0, len(x), _BLOCK):
+        both = np.vstack([state, x[i : i + _BLOCK]])
+        n = len(both) - order
+        out[i : i + n] = rows[:n, : order + n] @ both
+        state = states[n][:, : order + n] @ both
     return out
 
 
@@ -44,17 +67,11 @@ def zero_phase(x: np.ndarray, order: int, cutoff: float, rate: float) -> np.ndar
     if len(x) <= pad:
         raise ValueError(f"a series needs more than {pad} rows")
     wide = np.vstack([2 * x[0] - x[pad:0:-1], x, 2 * x[-1] - x[-2 : -pad - 2 : -1]])
-    forth = run_filter(b, a, wide, zi * wide[0])
-    back = run_filter(b, a, forth[::-1], zi * forth[-1])[::-1]
+    forth = run_filter(wide, zi * wide[0], order, cutoff, rate)
+    back = run_filter(forth[::-1], zi * forth[-1], order, cutoff, rate)[::-1]
     return back[pad:-pad]
 
 
-@functools.lru_cache(maxsize=256)
-def zero_phase_matrix(n: int, order: int, cutoff: float, rate: float) -> np.ndarray:
-    """The filter is linear: its effect on series of ``n`` rows is one matrix."""
-    return zero_phase(np.eye(n), order, cutoff, rate)
-
-
 @functools.lru_cache(maxsize=16)
 def polynomial_fit(window: int, order: int) -> np.ndarray:
     """Row i: the weights that give the fitted polynomial's value at the window's place i."""
@@ -75,8 +92,3 @@ def smooth(x: np.ndarray, window: int, order: int) -> np.ndarray:
     out[:half] = fit[:half] @ x[:window]
     out[n - half :] = fit[half + 1 :] @ x[-window:]
     return out
-
-
-@functools.lru_cache(maxsize=256)
-def smooth_matrix(n: int, window: int, order: int) -> np.ndarray:
-    return smooth(np.eye(n), window, order)

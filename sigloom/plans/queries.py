@@ -444,7 +444,7 @@ def sk5_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _place(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/sigloom/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _placed(df: DataFrame) -> DataFrame:

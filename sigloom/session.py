@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -41,12 +44,21 @@ _own_dirs: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; one temporary folder a session where it is unset."""
+    """This application's folder under ``spark.checkpoint.dir``, which all executors share.
+
+    Where that is unset, a local session gets a temporary folder, removed at exit. On a cluster it
+    is an error: other machines would not see such a folder.
+    """
+    app = spark.sparkContext.applicationId
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _own_dirs.get(app) or _own_dirs.setdefault(app, tempfile.mkdtemp(prefix="sigloom-"))
-    return folder.rstrip("/")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = _own_dirs.get(app)
+        if not folder:
+            folder = _own_dirs[app] = tempfile.mkdtemp(prefix="sigloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"{folder.rstrip('/')}/sigloom/{app}"
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
@@ -54,7 +66,26 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
     The table outlives any executor, so a later stage never recomputes what stands before it.
     """
-    path = f"{scratch_dir(df.sparkSession)}/sigloom/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    out = df.sparkSession.read.schema(schema).parquet(path)
+    out._settled_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def released(*tables: DataFrame | None) -> None:
+    """Deletes tables that :func:`settled` wrote and that no frame reads any more."""
+    for df in tables:
+        if path := getattr(df, "_settled_at", None):
+            _delete(df.sparkSession, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all that this application settled. For the end of a job: its results must be written by then."""
+    _delete(spark, scratch_dir(spark))

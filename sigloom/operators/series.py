@@ -27,6 +27,20 @@ def with_position(df: DataFrame, clip: list[str], order: list[str], name: str =
     return df.withColumn(name, (F.row_number().over(Window.partitionBy(*clip).orderBy(*order)) - 1).cast("long"))
 
 
+def place_in_groups(df: DataFrame, group: list[str], part: Column, order: list[str], name: str = "place") -> DataFrame:
+    """0-based place of a row in its group, however large that is: no task sorts more than a part.
+
+    ``part`` must not fall as ``order`` rises. Rows are numbered within their part and moved by
+    what stands in earlier parts of the group.
+    """
+    rows = df.withColumn("__part", part)
+    counts = rows.groupBy(*group, "__part").agg(F.count("*").alias("__n"))
+    before = counts.select(*group, "__part", (F.sum("__n").over(Window.partitionBy(*group).orderBy("__part")) - F.col("__n")).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(*group, "__part").orderBy(*order)) - 1
+    out = rows.withColumn("__own", own).join(before, [*group, "__part"])
+    return out.withColumn(name, (F.col("__before") + F.col("__own")).cast("long")).drop("__part", "__own", "__before")
+
+
 def forward_fill(df: DataFrame, clip: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """Missing values (null, NaN) become the last one before them; leading ones stay null."""
     so_far = Window.partitionBy(*clip).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

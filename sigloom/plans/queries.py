@@ -112,6 +112,23 @@ def sc2_raw_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.processable(_catalog(spark, sf_dir)).where("stage = '01_raw_motion'").select("k", "path", "length")
 
 
+_LISTED = """SELECT {g}, f.path, CASE WHEN f.path IS NULL THEN 'missing' ELSE 'listed' END AS status FROM ({grid}) g LEFT JOIN ({rows}) f ON {on}"""
+_ACTORS_SQL = "SELECT CAST(a AS INTEGER) AS actor FROM range(1, 25) t(a)"
+
+
+@register(f"WITH {_CATALOG} " + _LISTED.format(g="g.actor", grid=_ACTORS_SQL, rows="SELECT * FROM catalog WHERE stage = 'action_unit_activation' AND ext = 'mp4' AND length < 300", on="f.folder_actor = g.actor"))
+def sc1_video_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Videos by actor folder; folders without one are reported and stop nothing."""
+    videos = _catalog(spark, sf_dir).where("stage = 'action_unit_activation' and ext = 'mp4' and length < 300")
+    return catalog.actor_listing(videos, spark)
+
+
+@register(f"WITH {_CATALOG} " + _LISTED.format(g="g.actor, g.channel", grid=f"SELECT actor, channel FROM ({_ACTORS_SQL}), (VALUES ('speech'), ('song')) v(channel)", rows="SELECT * FROM catalog WHERE stage = '02_smoothed_motion' AND ext = 'csv' AND length < 200", on="f.folder_actor = g.actor AND f.channel = g.channel"))
+def sc3_smoothed_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _catalog(spark, sf_dir).drop("channel").join(files(spark, sf_dir).select("k", "channel"), "k")
+    return catalog.actor_listing(tables.where("stage = '02_smoothed_motion' and ext = 'csv' and length < 200"), spark, ["channel"])
+
+
 @register(
     f"""WITH {_CATALOG}, grid AS (SELECT a AS actor, c AS channel FROM range(1, 25) t(a), (VALUES ('speech'), ('song')) v(c) WHERE NOT (a = 18 AND c = 'song'))
     SELECT CAST(g.actor AS INTEGER) AS actor, g.channel FROM grid g WHERE NOT EXISTS (SELECT 1 FROM catalog x WHERE x.eligible AND x.folder_actor = g.actor AND x.channel = g.channel AND x.stage = '02_smoothed_motion' AND x.length < 140)"""
@@ -239,11 +256,12 @@ def _fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.fill_report(events_series(spark, sf_dir), CLIP, ORDER, ["holed"])
 
 
-@register(f"WITH {_REPORT} SELECT user_id % 10 AS folder, count(*) AS n_modified, array_to_string(list(user_id ORDER BY user_id), ',') AS modified FROM report WHERE nulls_before > 0 GROUP BY ALL")
+@register(f"WITH {_REPORT} SELECT user_id % 10 AS folder, count(*) OVER (PARTITION BY user_id % 10) AS n_modified, row_number() OVER (PARTITION BY user_id % 10 ORDER BY user_id) - 1 AS place, user_id FROM report WHERE nulls_before > 0")
 def ag2_modified_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changed = _fill_report(spark, sf_dir).where("nulls_before > 0")
-    found = changed.groupBy((F.col("user_id") % 10).alias("folder")).agg(F.count("*").alias("n_modified"), F.sort_array(F.collect_list("user_id")).alias("ids"))
-    return found.select("folder", "n_modified", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("modified"))
+    """Changed clips by folder: how many, and each with its place in the ordered list."""
+    changed = settled(_fill_report(spark, sf_dir).where("nulls_before > 0").select((F.col("user_id") % 10).alias("folder"), "user_id"), "changed")
+    listed = series.place_in_groups(changed, ["folder"], F.floor(F.col("user_id") / 10_000), ["user_id"])
+    return listed.join(changed.groupBy("folder").agg(F.count("*").alias("n_modified")), "folder").select("folder", "n_modified", "place", "user_id")
 
 
 @register(f"WITH {_REPORT} SELECT * FROM report")
@@ -301,9 +319,10 @@ def fi6_usable_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _frames(spark, sf_dir).where(features.usable(features.au_vector([f"c{i}" for i in range(20)]))).select("vec_id")
 
 
-@register(f"SELECT label, count(*) AS n_frames, count(*) FILTER ({_BROKEN}) AS n_omitted, coalesce(array_to_string(list(vec_id ORDER BY vec_id) FILTER ({_BROKEN}), ','), '') AS omitted FROM embeddings GROUP BY label")
+@register(f"SELECT CAST(floor(vec_id / 100) AS BIGINT) AS clip, count(*) AS n_frames, count(*) FILTER ({_BROKEN}) AS n_omitted, coalesce(array_to_string(list(vec_id ORDER BY vec_id) FILTER ({_BROKEN}), ','), '') AS omitted FROM embeddings GROUP BY clip")
 def ag4_omitted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = features.omitted_frames(_frames(spark, sf_dir), ["label"], "vec_id", features.au_vector([f"c{i}" for i in range(20)]))
+    frames = _frames(spark, sf_dir).withColumn("clip", F.floor(F.col("vec_id") / 100))
+    found = features.omitted_frames(frames, ["clip"], "vec_id", features.au_vector([f"c{i}" for i in range(20)]))
     return found.withColumn("omitted", F.array_join(F.transform("omitted", lambda x: x.cast("string")), ","))
 
 
@@ -332,11 +351,14 @@ def pr9_pixel_scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(_frames(spark, sf_dir).select("vec_id", features.scaled(features.geometry(*_GEOMETRY), (640.0, 480.0)).alias("g")))
 
 
-@register(f"WITH files AS ({FILES_SQL}) SELECT e.vec_id, f.path AS source_path FROM embeddings e JOIN files f ON f.k = e.vec_id")
+@register(f"WITH files AS ({FILES_SQL}), points AS ({_POINTS.format(sx='CAST(1280.0 / 640.0 AS DOUBLE)', sy='CAST(720.0 / 480.0 AS DOUBLE)')}) SELECT p.*, f.path AS source_path FROM points p JOIN files f ON f.k = p.vec_id")
 def jn5_geometry_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clips = files(spark, sf_dir).select("k", "path")
-    frames = _frames(spark, sf_dir).select(F.col("vec_id").alias("k"), features.geometry(*_GEOMETRY).alias("g"))
-    return features.on_source(frames, clips, "k").select(F.col("k").alias("vec_id"), "source_path")
+    """Scaled geometry with the clip file that it is drawn on."""
+    clips = files(spark, sf_dir).select(F.col("k").alias("vec_id"), "path")
+    frames = _frames(spark, sf_dir).select("vec_id", features.scaled(features.geometry(*_GEOMETRY), (640.0, 480.0)).alias("g"))
+    placed = features.on_source(frames, clips, "vec_id")
+    flat = placed.select("vec_id", "g", "source_path", F.posexplode("g.points").alias("point", "p"))
+    return flat.select("vec_id", F.col("point").cast("long").alias("point"), rounded("p.x", "x"), rounded("p.y", "y"), rounded("g.box.width", "box_width"), rounded("g.pose.roll", "roll"), "source_path")
 
 
 # --- raw against smoothed ----------------------------------------------------------------------
@@ -468,11 +490,32 @@ def sk2_smoothed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select("user_id", "row_idx", rounded("value"))
 
 
-@register(f"WITH {_SERIES} SELECT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, count(*) AS n, round(sum(value), 3) + 0.0 AS total FROM series GROUP BY ALL")
+def _clip_csv(spark: SparkSession, rows: DataFrame) -> str:
+    """One CSV folder a clip, with one file in it."""
+    folder = _place(spark, "clips")
+    tracking.write_clip_csv(_placed(rows).withColumn("stem", F.col("user_id")).repartition("user_id").sortWithinPartitions("channel", "actor", "stem", "row_idx"), folder)
+    return folder
+
+
+@register(ORACLE_SQL["wn4_savgol"])
+def sk2_smoothed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export without an index column, read back clip by clip."""
+    out = spark.read.option("header", True).schema("user_id long, row_idx long, value double").csv(_clip_csv(spark, _smoothed(spark, sf_dir)))
+    return out.select("user_id", "row_idx", rounded("value"))
+
+
+@register(f"""WITH {_WHOLE}, {savgol_sql('own', 'fit')}, every AS (SELECT '01_raw_motion' AS stage, clip, row_idx, x FROM own UNION ALL SELECT '02_smoothed_motion', clip, row_idx, x FROM fit)
+    SELECT stage, 'zstd' AS codec, CASE WHEN clip % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, clip AS user_id, row_idx, round(x, 6) + 0.0 AS value FROM every""")
 def sk4_release_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both motion datasets, every row read back, with the codec that their files have."""
     folder = _place(spark, "release")
-    release.write_datasets({"01_raw_motion": _placed(numbered(spark, sf_dir).select("user_id", "row_idx", "value"))}, release.archive_specs(spark), folder)
-    return spark.read.parquet(f"{folder}/01_raw_motion").groupBy("channel").agg(F.count("*").alias("n"), (F.round(F.sum("value"), 3) + F.lit(0.0)).alias("total"))
+    raw = numbered(spark, sf_dir).select("user_id", "row_idx", "value")
+    release.write_datasets({"01_raw_motion": _placed(raw), "02_smoothed_motion": _placed(_smoothed(spark, sf_dir))}, release.archive_specs(spark), folder)
+    out = None
+    for stage in ("01_raw_motion", "02_smoothed_motion"):
+        part = spark.read.parquet(f"{folder}/{stage}").select(F.lit(stage).alias("stage"), F.regexp_extract("_metadata.file_name", r"\.(\w+)\.parquet$", 1).alias("codec"), "channel", "user_id", "row_idx", rounded("value"))
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 def _written_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -491,11 +534,54 @@ def sc4_tracking_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.read_tracking(spark, _written_csv(spark, sf_dir), ["x_0"]).select(F.col("event_id").cast("long").alias("event_id"), "x_0", "kind")
 
 
-@register("SELECT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, CAST(user_id % 24 + 1 AS INTEGER) AS actor, true AS has_bytes FROM events GROUP BY ALL")
+@register(f"WITH {_SERIES} SELECT event_id, holed AS x_0, event_type AS kind FROM series WHERE user_id % 24 = 0")
+def sc5_one_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = f"{_written_csv(spark, sf_dir)}/channel=speech/actor=1"
+    return tracking.read_clip(spark, place, ["x_0"]).select(F.col("event_id").cast("long").alias("event_id"), "x_0", "kind")
+
+
+@register("SELECT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, CAST(user_id % 24 + 1 AS INTEGER) AS actor, user_id AS stem, 1 AS n_files, true AS has_bytes FROM events GROUP BY user_id")
 def sc6_artefact_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = catalog.list_files(spark, _written_csv(spark, sf_dir), "*.csv")
-    found = listed.select(F.regexp_extract("path", "channel=([^/]*)", 1).alias("channel"), F.regexp_extract("path", "actor=([^/]*)", 1).cast("int").alias("actor"), "length")
-    return found.groupBy("channel", "actor").agg((F.sum("length") > 0).alias("has_bytes"))
+    """Every clip's file of an export, found by a recursive listing."""
+    listed = catalog.list_files(spark, _clip_csv(spark, numbered(spark, sf_dir).select("user_id", "row_idx", "value")), "*.csv")
+    named = lambda key: F.regexp_extract("path", f"{key}=([^/]*)", 1)
+    found = listed.select(named("channel").alias("channel"), named("actor").cast("int").alias("actor"), named("stem").cast("long").alias("stem"), "length")
+    return found.groupBy("channel", "actor", "stem").agg(F.count("*").cast("int").alias("n_files"), (F.sum("length") > 0).alias("has_bytes"))
+
+
+_PASSED = [f"p_{i}" for i in range(30)]
+
+
+def _partial_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of a file for each channel and actor: half lack ``y_0``; thirty columns pass through."""
+    folder = _place(spark, "partial")
+    rows = _placed(numbered(spark, sf_dir)).select("channel", "actor", F.col("value").alias("x_0"), F.col("value").alias("y_0"), F.col("row_idx").alias("Pitch"), *[(F.col("event_id") + i).alias(n) for i, n in enumerate(_PASSED)])
+    for part in (rows.where("actor % 2 = 0"), rows.where("actor % 2 = 1").drop("y_0")):
+        part.repartition("channel", "actor").write.mode("append").option("header", True).partitionBy("channel", "actor").csv(folder)
+    heads = tracking.file_headers(spark, folder)
+    return heads.withColumns({"channel": F.regexp_extract("path", "channel=([^/]*)", 1), "actor": F.regexp_extract("path", "actor=([^/]*)", 1).cast("int")})
+
+
+_FOLDERS = "SELECT DISTINCT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, CAST(user_id % 24 + 1 AS INTEGER) AS actor FROM events"
+
+
+@register(f"SELECT channel, actor, CASE WHEN actor % 2 = 0 THEN 'Roll' ELSE 'y_0,Roll' END AS missing FROM ({_FOLDERS})")
+def un2_missing_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = _partial_csv(spark, sf_dir)
+    found = tracking.channel_report(heads, ["x_0", "y_0", "Pitch", "Roll"])
+    return found.join(heads, "path").select("channel", "actor", F.array_join("missing", ",").alias("missing"))
+
+
+@register(f"SELECT channel, actor, CASE WHEN actor % 2 = 0 THEN 'ok' ELSE 'missing_channels' END AS status FROM ({_FOLDERS})")
+def qg2_required_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = _partial_csv(spark, sf_dir)
+    return tracking.channel_report(heads, ["x_0", "y_0", "Pitch"]).join(heads, "path").select("channel", "actor", "status")
+
+
+@register(f"SELECT channel, actor, 'no column AU01; the table has ' || CASE WHEN actor % 2 = 0 THEN 'x_0, y_0, Pitch, {', '.join(_PASSED[:22])}' ELSE 'x_0, Pitch, {', '.join(_PASSED[:23])}' END AS message FROM ({_FOLDERS})")
+def qg5_column_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = _partial_csv(spark, sf_dir)
+    return tracking.column_report(heads, "AU01").join(heads, "path").select("channel", "actor", "message")
 
 
 @register(f"""WITH RECURSIVE {_WHOLE}, {low_pass_sql('own', 'low')}, {savgol_sql('low', 'fit')} SELECT clip AS user_id, row_idx, round(x, 6) + 0.0 AS value FROM fit""")

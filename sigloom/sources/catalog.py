@@ -60,3 +60,20 @@ def uncovered(expected: DataFrame, observed: DataFrame) -> DataFrame:
 def not_yet_done(tasks: DataFrame, existing: DataFrame, key: str | list[str]) -> DataFrame:
     """Tasks whose output is not there yet; existence alone counts."""
     return tasks.join(existing, key, "left_anti")
+
+
+def actor_listing(files: DataFrame, spark: SparkSession, by: list[str] | None = None) -> DataFrame:
+    """The files that lie directly in each expected actor folder, ``by`` channel too if asked for.
+
+    ``files`` has ``path``, ``folder_actor`` and the ``by`` columns. A folder without files gives
+    one row with a null path and the status ``missing``: a run goes on without it.
+    """
+    by = by or []
+    grid = spark.range(codes.ACTORS[0], codes.ACTORS[1] + 1).select(F.col("id").cast("int").alias("actor"))
+    if by:
+        grid = grid.select("actor", F.explode(F.array(*map(F.lit, codes.CHANNELS.values()))).alias(by[0]))
+    found = files.select(F.col("folder_actor").alias("actor"), *by, "path")
+    # The grid has 48 rows at most.
+    known = found.join(F.broadcast(grid), ["actor", *by]).withColumn("status", F.lit("listed"))
+    absent = grid.join(found.select("actor", *by).distinct(), ["actor", *by], "left_anti").withColumns({"path": F.lit(None).cast("string"), "status": F.lit("missing")})
+    return known.unionByName(absent)

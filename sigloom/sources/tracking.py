@@ -34,6 +34,40 @@ def csv_lines(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
     return numbered.where("__n > 1").drop("__n")
 
 
+def file_headers(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
+    """``path, header`` of every file: the first line of its first block, a row a file in the shuffle."""
+    text = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(root)
+    begins = text.where(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("place"))
+    return begins.groupBy("path").agg(F.min_by("line", "place").alias("header"))
+
+
+def header_names(header: Column) -> Column:
+    """The names in a header line, index columns left out."""
+    names = F.transform(F.split(header, ","), lambda n: F.regexp_replace(n, '^"|"$', ""))
+    return F.filter(names, lambda n: (n != _INDEX[0]) & ~n.startswith(_INDEX[1]))
+
+
+def channel_report(headers: DataFrame, required: list[str]) -> DataFrame:
+    """By file: required channels that its header lacks, in required order, and whether it may be filtered."""
+    lacking = F.filter(F.array(*map(F.lit, required)), lambda c: ~F.array_contains(header_names(F.col("header")), c))
+    return headers.select("path", lacking.alias("missing")).withColumn("status", F.when(F.size("missing") > 0, "missing_channels").otherwise("ok"))
+
+
+def column_report(headers: DataFrame, column: str) -> DataFrame:
+    """By file: null if it has the column, else a message with its first 25 columns."""
+    names = F.transform(F.split("header", ","), lambda n: F.regexp_replace(n, '^"|"$', ""))
+    said = F.concat(F.lit(f"no column {column}; the table has "), F.array_join(F.slice(names, 1, 25), ", "))
+    return headers.select("path", F.when(~F.array_contains(names, column), said).alias("message"))
+
+
+def read_clip(spark: SparkSession, place: str, channels: list[str], pattern: str = "*.csv") -> DataFrame:
+    """One clip's table, as :func:`read_tracking` gives it; an error that names the place if nothing lies there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise FileNotFoundError(f"no clip at {place}")
+    return read_tracking(spark, place, channels, pattern)
+
+
 def read_tracking(spark: SparkSession, root: str, channels: list[str], pattern: str = "*.csv", na_tokens: bool = True) -> DataFrame:
     """All files as one table: ``path, row_idx``, the channels as doubles, other columns as text.
 
@@ -44,7 +78,7 @@ def read_tracking(spark: SparkSession, root: str, channels: list[str], pattern:
     line breaks are not supported.
     """
     lines = csv_lines(spark, root, pattern)
-    headers = [r["header"] for r in lines.select("header").distinct().orderBy("header").collect()]
+    headers = [r["header"] for r in file_headers(spark, root, pattern).select("header").distinct().orderBy("header").collect()]
     if not headers:
         raise ValueError("no rows to read")
     parsed: dict[str, Column] = {}

@@ -74,6 +74,45 @@ def test_clean_signals_gates(spark):
     assert series.clean_signals(df.where("false"), ["clip"], ["i"], ["x"]).count() == 0
 
 
+def test_all_channels_at_once(spark):
+    rng, names = np.random.default_rng(4), tracking.CHANNELS
+    clips = {"a": rng.normal(size=(40, 163)), "b": rng.normal(size=(25, 163)), "c": rng.normal(size=(130, 163))}
+    rows = [(c, i, *map(float, v)) for c, x in clips.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "clip string, i int, " + ", ".join(f"{n} double" for n in names))
+    got = {(r.clip, r.i): r[2:] for r in series.clean_signals(df, ["clip"], ["i"], names).collect()}
+    for c, x in clips.items():
+        assert np.allclose([got[c, i] for i in range(len(x))], series.chain(series.low_pass(), series.savgol())(x))
+
+
+def test_absent_clips_and_columns(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        tracking.read_clip(spark, str(tmp_path / "nowhere"), ["x_0"])
+    (tmp_path / "a.csv").write_text(",x_0,kind\n0,1.5,p\n")
+    assert [(r.x_0, r.kind) for r in tracking.read_clip(spark, str(tmp_path), ["x_0"]).collect()] == [(1.5, "p")]
+    heads = tracking.file_headers(spark, str(tmp_path))
+    assert [r.missing for r in tracking.channel_report(heads, ["y_0", "x_0", "AU01"]).collect()] == [["y_0", "AU01"]]
+    assert [r.message for r in tracking.column_report(heads, "x_0").collect()] == [None]
+    files = spark.createDataFrame([("01_raw_motion/Actor_03/s.mp4", 3)], "path string, folder_actor int")
+    found = catalog.actor_listing(files, spark).collect()
+    assert len(found) == 24 and [r.path for r in found if r.status == "listed"] == ["01_raw_motion/Actor_03/s.mp4"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from sigloom import session
+
+    table = session.settled(spark.range(3), "three")
+    assert table.count() == 3 and Path(table._settled_at).is_dir()
+    session.released(table)
+    assert not Path(table._settled_at).exists()
+    session.settled(spark.range(3), "three")
+    session.clear_scratch(spark)
+    assert not Path(session.scratch_dir(spark)).exists()
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.scratch_dir(spark)
+
+
 def test_clips_that_span_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:

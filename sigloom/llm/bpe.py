@@ -76,7 +76,10 @@ class Encoder:
             return [len(x) for x in self._piece.encode(texts, num_threads=1)]
         if self._tok:
             return [len(x) for x in self._tok.encode_batch(texts, add_special_tokens=False)]
-        return [len(self.ids(t)) for t in texts]
+        marked = [any(x in t for x in self.special) for t in texts]
+        plain = iter(self._tik.encode_ordinary_batch([t for t, m in zip(texts, marked) if not m], num_threads=1))
+        special = iter(self._tik.encode_batch([t for t, m in zip(texts, marked) if m], num_threads=1, allowed_special="all"))
+        return [len(next(special if m else plain)) for m in marked]
 
     def id_bytes(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""

@@ -10,12 +10,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import let, running
+
 # The template.
 TURN, END = "<|turn|>", "<|end|>"
 _CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\])"
 _ESCAPED = r"([<\[])\\(\\*)(\||/?s>|/?INST\])"
 
 PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
+_FIELDS = [f.split(":") for f in PARTS[13:-2].split(",")]
+
+# Attachments by the suffix of a link's target, and what counts as one token of a text.
+SUFFIXES = {"image": "png|jpe?g|gif|webp", "audio": "mp3|wav|flac|ogg", "document": "pdf|docx?|odt"}
+MEDIA = r"!?\[[^\]\n]*\]\([^()\s]+\.(?:" + "|".join(SUFFIXES.values()) + r")\)"
+WORD = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\x09-\x0D\x20]"
+_PLACEHOLDER = r"<\|(?:image|audio|document)\|>"
+
+
+def _part(**given: Column) -> Column:
+    return F.struct(*[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in _FIELDS])
+
+
+def linked_parts(text: Column) -> Column:
+    """A text as typed parts: links to media files become attachments that keep the link as their reference."""
+    links = F.regexp_extract_all(text, F.lit(MEDIA), 0)
+    kind = lambda link: F.when(link.rlike(rf"\.(?:{SUFFIXES['image']})\)$"), "image").when(link.rlike(rf"\.(?:{SUFFIXES['audio']})\)$"), "audio").otherwise("document")
+    linked = lambda ls: F.transform(F.split(text, MEDIA, -1), lambda gap, i: F.array(_part(type=F.lit("text"), text=gap), F.when(i < F.size(ls), _part(type=kind(F.get(ls, i)), ref=F.get(ls, i)))))
+    return F.filter(F.flatten(let(links, linked)), lambda p: p.isNotNull())
 
 
 def escape(text: Column) -> Column:
@@ -49,7 +70,7 @@ def visited(part: Column, patch: int = 28, audio_rate: float = 25.0, page_tokens
         F.when(kind == "image", F.ceil(F.coalesce(part["width"], F.lit(0)) / patch) * F.ceil(F.coalesce(part["height"], F.lit(0)) / patch))
         .when(kind == "audio", F.ceil(F.coalesce(part["seconds"], F.lit(0.0)) * audio_rate))
         .when(kind == "document", F.coalesce(part["pages"], F.lit(0)).cast("long") * page_tokens)
-        .otherwise(F.regexp_count(text, F.lit(r"\w+|[^\w\s]")))
+        .otherwise(F.regexp_count(text, F.lit(WORD)))
         .cast("long")
     )
     content = F.when(attached, F.concat(F.lit("<|"), kind, F.lit("|>"))).otherwise(escape(text))
@@ -62,11 +83,11 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", parts_c
     ``turns`` has ``conv_id, turn, role`` and either ``text`` or an array of typed parts
     (:data:`PARTS`). Turns are ordered by turn, role and content, nulls first; a null role is
     empty, a null text or part list is an empty content, and a null ``conv_id`` is one
-    conversation of its own. ``loss_spans`` are ``(start, length)`` of the content of
-    ``loss_role`` in code points of ``formatted``; ``attachments`` follow the order of the
-    placeholders. Repeated rows are repeated turns; other columns are not read.
+    conversation of its own. ``loss_spans`` are ``start, length`` of the content of
+    ``loss_role`` in code points of ``formatted``, and ``first``, the number of attachments before
+    it; ``attachments`` follow the order of the placeholders. Repeated rows are repeated turns; other columns are not read.
     """
-    parts = F.col(f"`{parts_col}`") if parts_col else F.array(F.struct(F.lit("text").alias("type"), F.col("text"), *[F.lit(None).cast(t).alias(c) for c, t in (("ref", "string"), ("width", "int"), ("height", "int"), ("seconds", "double"), ("pages", "int"))]))
+    parts = F.col(f"`{parts_col}`") if parts_col else F.array(_part(type=F.lit("text"), text=F.col("text")))
     seen = F.transform(F.coalesce(parts.cast(PARTS), F.array().cast(PARTS)), lambda p: visited(p))
     flat = turns.select("conv_id", "turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), seen.alias("seen"))
     flat = flat.select(
@@ -81,30 +102,33 @@ def format_conversations(turns: DataFrame, loss_role: str = "assistant", parts_c
     )
     whole = flat.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     head = lambda t: F.concat(F.lit(TURN), _escape_role(t["role"]), F.lit("\n"))
-    written = F.transform("turns", lambda t: F.struct(head(t).alias("head"), t["content"].alias("content"), (t["role"] == loss_role).alias("loss")))
-    whole = whole.withColumn("written", written)
+    written = F.transform("turns", lambda t: F.struct(head(t).alias("head"), t["content"].alias("content"), (t["role"] == loss_role).alias("loss"), F.size(t["attachments"]).alias("n")))
     tail = END + "\n"
-    places = F.aggregate(
-        "written",
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda acc, w: F.struct(
-            (acc["at"] + F.length(w["head"]) + F.length(w["content"]) + len(tail)).alias("at"),
-            F.when(w["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.length(w["head"])).alias("start"), F.length(w["content"]).alias("length"))))).otherwise(acc["spans"]).cast("array<struct<start:int,length:int>>").alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+    whole = whole.withColumn("written", written)
+    chars = running(F.transform("written", lambda w: F.length(w["head"]) + F.length(w["content"]) + len(tail)))
+    before = running(F.transform("written", lambda w: w["n"]))
+    span = lambda at, k, w, i: F.struct((F.get(at, i) + F.length(w["head"])).alias("start"), F.length(w["content"]).alias("length"), F.get(k, i).alias("first"), w["loss"].alias("loss"))
+    spans = let(chars, lambda at: let(before, lambda k: F.transform("written", lambda w, i: span(at, k, w, i))))
+    spans = F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"), s["first"].alias("first")))
     return whole.select(
         "conv_id",
         F.array_join(F.transform("written", lambda w: F.concat(w["head"], w["content"], F.lit(tail))), "").alias("formatted"),
-        places.alias("loss_spans"),
+        spans.alias("loss_spans"),
         F.flatten(F.transform("turns", lambda t: t["attachments"])).alias("attachments"),
         F.aggregate("turns", F.lit(0).cast("long"), lambda a, t: a + t["tokens"]).alias("n_tokens"),
     )
 
 
-def read_turns(formatted: Column) -> Column:
-    """The turns of a formatted conversation, unescaped: an array of ``(role, text)``."""
-    pieces = F.filter(F.split(formatted, r"<\|turn\|>"), lambda p: p != "")
+def restored(formatted: Column, attachments: Column, first: Column | int = 0) -> Column:
+    """``formatted`` with each placeholder replaced by its attachment's reference, escaped like a text."""
+    pieces = F.split(formatted, _PLACEHOLDER, -1)
+    back = lambda p: F.transform(p, lambda x, i: F.concat(x, F.when(i < F.size(p) - 1, escape(F.coalesce(F.get(attachments, i + first)["ref"], F.lit("")))).otherwise("")))
+    return F.array_join(let(pieces, back), "")
+
+
+def read_turns(formatted: Column, attachments: Column) -> Column:
+    """The turns of a formatted conversation, unescaped: an array of ``(role, text)``, references as in :func:`restored`."""
+    pieces = F.filter(F.split(restored(formatted, attachments), r"<\|turn\|>"), lambda p: p != "")
     cut = lambda p: F.instr(p, "\n")
     tail = len(END) + 1
     return F.transform(
@@ -116,6 +140,6 @@ def read_turns(formatted: Column) -> Column:
     )
 
 
-def read_loss(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped, in order."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), "")
+def read_loss(formatted: Column, spans: Column, attachments: Column) -> Column:
+    """All text under the loss mask, unescaped, in order, references in the place of their placeholders."""
+    return F.array_join(F.transform(spans, lambda s: unescape(restored(F.substr(formatted, s["start"] + 1, s["length"]), attachments, s["first"]))), "")

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64  # the salts that a class was seen under are kept as the bits of one long
+SALTS = 64  # the ways to a class are kept as the bits of one long
 
 
 def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normal: Column | None = None, salts: int = SALTS) -> DataFrame:
     """One row per input row: ``id, keep_id, group_size, kept, text_sha256``.
 
     Rows are equal when their (normalised) texts are; of equal rows the one with the largest id
-    stays. Both combining steps group by digest *and* text, so texts are compared in full: first
-    inside each task and within one of ``salts`` salts, then between the salts' winners. A group
-    of any size thus reaches a task as one row per task, then as at most ``salts`` rows. Each row
-    finds its winner by ``(digest, salt)``; two texts under one digest would fail the job there.
+    stays. Every step groups by digest *and* text, so texts are compared in full. Each task first
+    combines its own rows of a class to one; these are merged under the task's salt (its number
+    modulo ``salts``), and the salts' winners over all. So a group of any size leaves a task as one
+    row and meets in one task as ``salts`` rows at most. Each row finds its winner by its digest
+    and a salt of its id, of which the class keeps a list; two texts under one digest would fail
+    the job there.
 
     Null texts count as empty and form one class. Null ids lose to any other id; a class of null
     ids only has a null ``keep_id`` and every row of it is kept. Rows that repeat an id all are
@@ -23,14 +25,15 @@ def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     assert 1 <= salts <= SALTS
     text = normal if normal is not None else F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digest", F.sha2("text", 256)).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    salted = rows.groupBy("digest", "salt", "text").agg(F.max("id").alias("top"), F.count("*").alias("n"))
-    winners = salted.groupBy("digest", "text").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"), F.expr("bit_or(shiftleft(1L, salt))").alias("salts"))
-    bits = F.expr(f"filter(sequence(0, {salts - 1}), s -> (salts & shiftleft(1L, s)) != 0)")
-    places = winners.select("digest", "keep_id", "group_size", F.explode(bits).alias("salt"))
-    # One digest and salt must lead to one text: a second one is a digest collision.
-    places = places.groupBy("digest", "salt").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("texts")).withColumn("group_size", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts under one digest")).cast("long")))
-    out = rows.select("id", "digest", "salt").join(places.drop("texts"), ["digest", "salt"])
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("digest", F.sha2("text", 256)).withColumn("way", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    local = rows.withColumn("salt", F.spark_partition_id() % salts)
+    salted = local.groupBy("digest", "salt", "text").agg(F.max("id").alias("top"), F.count("*").alias("n"), F.expr("bit_or(shiftleft(1L, way))").alias("ways"))
+    winners = salted.groupBy("digest", "text").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"), F.expr("bit_or(ways)").alias("ways"))
+    bits = F.expr(f"filter(sequence(0, {salts - 1}), s -> (ways & shiftleft(1L, s)) != 0)")
+    places = winners.select("digest", "keep_id", "group_size", F.explode(bits).alias("way"))
+    # One digest and way must lead to one text: a second one is a digest collision.
+    places = places.groupBy("digest", "way").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("texts")).withColumn("group_size", F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts under one digest")).cast("long")))
+    out = rows.select("id", "digest", "way").join(places.drop("texts"), ["digest", "way"])
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
@@ -38,14 +41,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay, with all their columns.
 
     Rows that repeat both the id and the text of a winner are one row in the result. See
-    :func:`exact_classes` for nulls and ties.
+    :func:`exact_classes` for the steps, nulls and ties.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    salted = docs.withColumns({"__text": text, "__digest": F.sha2(text, 256), "__salt": F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int")})
     # The row's other columns travel as one struct; the text is the grouping key itself.
     rest = F.struct(F.col(text_col).isNotNull().alias("__set"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
     rank = F.struct(F.col(id_col), F.xxhash64(*hashed).alias("tie"))
-    one = salted.groupBy("__digest", "__salt", "__text").agg(F.max_by(rest, rank).alias("__row"), F.max(rank).alias("__rank"))
-    best = one.groupBy("__digest", "__text").agg(F.max_by("__row", "__rank").alias("__row"))
-    return best.select(*[(F.when(F.col("__row.__set"), F.col("__text")) if c == text_col else F.col("__row").getField(c)).alias(c) for c in docs.columns])
+    local = docs.select(F.sha2(text, 256).alias("digest"), (F.spark_partition_id() % salts).alias("salt"), text.alias("text"), rest.alias("rest"), rank.alias("rank"))
+    one = local.groupBy("digest", "salt", "text").agg(F.max_by("rest", "rank").alias("rest"), F.max("rank").alias("rank"))
+    best = one.groupBy("digest", "text").agg(F.max_by("rest", "rank").alias("rest"))
+    return best.select(*[(F.when(F.col("rest.__set"), F.col("text")) if c == text_col else F.col("rest").getField(c)).alias(c) for c in docs.columns])

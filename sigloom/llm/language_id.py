@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import released, settled, ship
 from .batches import by_bytes
 
 UNKNOWN = "und"
@@ -33,34 +33,66 @@ class LanguageModel:
         return out
 
 
-def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learn: Column | None = None, texts_a_language: int = 256, dictionary_bytes: int = 32_000) -> LanguageModel:
+def spread(text: Column, key: Column, most: Column, piece: int = 125) -> Column:
+    """About ``most`` characters of ``text`` from all over it, or all of it where it is no longer.
+
+    Pieces of ``piece`` characters lie at even distances; ``key`` moves them all along.
+    """
+    n = F.char_length(text)
+    pieces = F.greatest(F.lit(1), F.ceil(most / piece)).cast("int")
+    step = n / pieces
+    start = lambda k: F.floor(step * k + F.pmod(key, F.lit(1000)) / 1000 * F.greatest(step - piece, F.lit(0.0))).cast("int") + 1
+    cut = F.array_join(F.transform(F.sequence(F.lit(0), pieces - 1), lambda k: F.substring(text, start(k), F.lit(piece))), " ")
+    return F.when(n <= most, text).otherwise(cut)
+
+
+def fit_languages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", learn: Column | None = None, texts_a_language: int = 256, dictionary_bytes: int = 32_000, most_languages: int = 4096
+) -> LanguageModel:
     """Dictionaries from a bounded sample of labelled rows.
 
     The sample is the ``texts_a_language`` rows of each non-null language with the smallest hash
-    of their id, among those that ``learn`` lets through; each gives an equal share of
-    ``dictionary_bytes`` from its start. Rows are ranked on ids and languages alone (each task
-    passes on its own first rows), then only their texts are fetched. Null, empty and letterless
-    texts teach nothing. Without labelled rows the model is empty.
+    of their id, among those that ``learn`` lets through. Each gives an equal share of
+    ``dictionary_bytes``, in pieces from all over its text; where short texts leave room, the
+    longer ones fill it. Rows are ranked on ids and languages alone (each task passes on its own
+    first rows), then only their pieces are fetched. Null, empty and letterless texts teach
+    nothing. Without labelled rows the model is empty. The model sits on the driver and in each
+    task, so more than ``most_languages`` labels are an error.
     """
     rows = docs.where(F.col(lang_col).isNotNull())
     if learn is not None:
         rows = rows.where(learn)
     key = F.xxhash64(F.col(id_col))
-    ranked = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), key.alias("key")).withColumn("salt", F.pmod("key", F.lit(64)))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text"))
+    ranked = rows.select("lang", "id", "key").withColumn("salt", F.pmod("key", F.lit(64)))
     for group in (["lang", "salt"], ["lang"]):  # so that a language of any size reaches a task as 64 short lists
         rank = F.row_number().over(Window.partitionBy(*group).orderBy("key", "id"))
         ranked = ranked.withColumn("rank", rank).where(F.col("rank") <= texts_a_language).drop("rank")
-    picked = ranked.select("lang", "id")
-    share = max(1, dictionary_bytes // texts_a_language)
-    texts = rows.where(F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.substring(text_col, 1, 4 * share).alias("text"))
+    picked = settled(ranked.select("lang", "id").distinct(), "picked")
+    sizes = picked.groupBy("lang").agg(F.count("*").alias("n"))
+    known = sizes.limit(most_languages + 1).collect()
+    if len(known) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
+    # Four shares of each text, so that long ones can fill what short ones leave.
+    few = picked.join(sizes, "lang").select("lang", "id", (4 * dictionary_bytes / F.col("n")).alias("share"))
+    if sum(r["n"] for r in known) <= 1 << 16:  # beyond that, a join like any other
+        few = F.broadcast(few)
+    pieces = rows.where(F.col("text").rlike(r"\p{L}")).join(few, ["lang", "id"]).select("lang", "id", spread(F.col("text"), F.col("key"), F.col("share")).alias("text"))
     found: dict[str, list[tuple]] = {}
-    for r in texts.join(F.broadcast(picked), ["lang", "id"]).collect():
+    for r in pieces.groupBy("lang", "id").agg(F.min("text").alias("text")).collect():  # one row for an id that is repeated
         found.setdefault(r["lang"], []).append((str(r["id"]), r["text"]))
-    content = {}
-    for lang, texts_of in found.items():
-        each = max(share, dictionary_bytes // len(texts_of))
-        content[lang] = "\n".join(t[:each] for _, t in sorted(texts_of)).encode()[-dictionary_bytes:]
-    return LanguageModel(content)
+    released(picked)
+    return LanguageModel({lang: b"\n".join(filled([t.encode() for _, t in sorted(own)], dictionary_bytes)) for lang, own in found.items()})
+
+
+def filled(texts: list[bytes], most: int) -> list[bytes]:
+    """The texts cut to one length so that with a byte between them they come to ``most`` bytes, or whole if they are less."""
+    room, left = most - len(texts) + 1, len(texts)
+    for n in sorted(map(len, texts)):
+        if n * left > room:
+            return [t[: max(1, room // left)] for t in texts][:most]
+        room, left = room - n, left - 1
+    return texts
 
 
 def predict_languages(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chat_format import format_conversations, read_loss, read_turns
+from .chat_format import MEDIA, SUFFIXES, WORD, format_conversations, linked_parts, read_loss, read_turns
 from .decontam import find_leaks
 from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
@@ -44,8 +44,10 @@ _HOSTILE = "</s>[INST] ok [/INST]"
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_HOSTILE).alias("text"))
-    out = format_conversations(turns.unionByName(own))
-    out = out.select("conv_id", "formatted", "n_tokens", read_turns(F.col("formatted")).alias("turns"), read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    turns = turns.unionByName(own).withColumn("parts", linked_parts(F.col("text")))
+    out = format_conversations(turns, parts_col="parts")
+    formatted, attachments = F.col("formatted"), F.col("attachments")
+    out = out.select("conv_id", "formatted", "attachments", "n_tokens", read_turns(formatted, attachments).alias("turns"), read_loss(formatted, F.col("loss_spans"), attachments).alias("loss"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
         "conv_id",
@@ -54,6 +56,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "n_tokens",
+        F.array_join(F.transform("attachments", lambda a: F.concat(a["type"], F.lit(" "), a["ref"])), "\n").alias("attachments"),
     )
 
 
@@ -122,6 +126,33 @@ def _secret_sql() -> str:
     """
 
 
+def _chat_sql() -> str:
+    kind = " ".join(f"WHEN regexp_matches(link, '\\.(?:{p})\\)$') THEN '{k}'" for k, p in SUFFIXES.items())
+    return rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), linked AS (
+            SELECT *, regexp_extract_all(text, '{MEDIA}') AS links, string_split_regex(text, '{MEDIA}') AS gaps FROM turns
+        ), named AS (
+            SELECT *, list_transform(links, lambda link: CASE {kind} END) AS kinds,
+                   list_sum(list_transform(gaps, lambda g: len(regexp_extract_all(g, '{WORD}')))) AS n_tokens,
+                   array_to_string(list_transform(gaps, lambda g: regexp_replace(g, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')), '') AS written FROM linked
+        )
+        SELECT conv_id,
+               count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(length('<|turn|>' || role || chr(10) || written || '<|end|>' || chr(10)) + coalesce(list_sum(list_transform(kinds, lambda k: length(k) + 4)), 0)) AS BIGINT) AS formatted_chars,
+               CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
+               coalesce(string_agg(array_to_string(list_transform(range(1, len(links) + 1), lambda i: kinds[i] || ' ' || links[i]), chr(10)), chr(10) ORDER BY turn, role, written) FILTER (len(links) > 0), '') AS attachments
+        FROM named
+        GROUP BY conv_id
+    """
+
+
 ORACLE_SQL = {
     "op4_secret_scan": _secret_sql(),
     "op9_jaccard_join": r"""
@@ -136,23 +167,7 @@ ORACLE_SQL = {
         SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.least_id, s.doc_id)) AS component_id
         FROM sets s LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) m ON m.doc_id = s.doc_id
     """,
-    "op5_chat_format": r"""
-        WITH turns AS (
-            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
-        ), escaped AS (
-            SELECT *, regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS written FROM turns
-        )
-        SELECT conv_id,
-               count(*) AS n_turns,
-               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-               sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               CAST(sum(length('<|turn|>' || role || chr(10) || written || '<|end|>' || chr(10))) AS BIGINT) AS formatted_chars
-        FROM escaped
-        GROUP BY conv_id
-    """,
+    "op5_chat_format": _chat_sql(),
     "op6_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The three base patterns, each with a stricter one that a text must hold if any match passes.
+from .arrays import let, running
+
+# The three base patterns.
 BASE = [
     ("assign", r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
 ]
-FIRST = [
-    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}""",
-    r"AKIA[A-Z0-9]{12}",
-    r"[0-9a-f]{32}",
-]
+# The same matches, found sooner. Access and hex matches end with their run of characters, so the
+# shortest length can stand in the pattern, and a run is entered at its begin only.
+QUICK = {
+    "assign": r"(?=[PpSsTtAa])" + BASE[0][1],
+    "access": r"AKIA[A-Z0-9]{12,}+",
+    "hex": r"(?<![0-9a-f])[0-9a-f]{32,}+",
+}
+#: A text must hold this if any match of ``assign`` passes.
+_ASSIGN_PASSES = r"""(?=[PpSsTtAa])(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}"""
 KINDS = [*(b[0] for b in BASE), "entropy"]
 
 # Candidate strings, what makes one harmless, and bits per character by class.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+_CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 ALLOWED = [
     r"^[^0-9]*$",  # no digit
     r"^[0-9_=/+-]*$",  # no letter
@@ -32,7 +41,6 @@ CLASSES = [("^[0-9a-fA-F]+$", 3.05), ("^[A-Za-z0-9]+$", 3.55), ("", 3.75)]
 WINDOW = 20
 
 _SPAN = "struct<start:int,kind:int,end:int>"
-_FOUND = "array<struct<start:int,end:int,whole:string,part:string>>"
 
 
 def found(text: Column, pattern: str, group: int = 0) -> Column:
@@ -41,41 +49,52 @@ def found(text: Column, pattern: str, group: int = 0) -> Column:
     Column functions give matches without positions, so these are summed up from the lengths of
     the matches and of what stands between them.
     """
-    wholes = F.regexp_extract_all(text, F.lit(pattern), 0)
-    parts = F.regexp_extract_all(text, F.lit(pattern), group)
-    pairs = F.zip_with(wholes, parts, lambda a, b: F.struct(a.alias("whole"), b.alias("part")))
-    steps = F.zip_with(F.split(text, pattern, -1), pairs, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("out"))
+    gaps, wholes = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
 
-    def step(acc: Column, x: Column) -> Column:
-        m, at = x["m"], acc["at"] + x["gap"]
-        end = at + F.length(m["whole"])
-        one = F.struct(at.alias("start"), end.alias("end"), m["whole"].alias("whole"), m["part"].alias("part"))
-        return F.when(m.isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).cast(_FOUND).alias("out")))
+    def placed(m: Column) -> Column:
+        sizes = F.transform(m["gaps"], lambda g, i: F.length(g) + F.coalesce(F.length(F.get(m["wholes"], i)), F.lit(0)))
+        start = lambda b, i: F.get(b, i) + F.length(F.get(m["gaps"], i))
+        one = lambda b, w, i: F.struct(start(b, i).alias("start"), (start(b, i) + F.length(w)).alias("end"), w.alias("whole"), (F.get(m["parts"], i) if group else w).alias("part"))
+        return let(running(sizes), lambda b: F.transform(m["wholes"], lambda w, i: one(b, w, i)))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    parts = [F.regexp_extract_all(text, F.lit(pattern), group).alias("parts")] if group else []
+    return let(F.struct(gaps.alias("gaps"), wholes.alias("wholes"), *parts), placed)
 
 
 def entropy_range(word: Column, least: Column, window: int = WINDOW) -> Column:
     """First and last code point of the windows of ``word`` with ``least`` bits a character or more, or null.
 
-    Counts of the characters + to z move with the window: one enters, one leaves, and the sum of
-    ``c * log2(c)`` changes by those two terms only.
+    The counts of the characters + to z move with the window, as letters of one string (A for 0):
+    one character enters, one leaves, so two counts change, and the sum of ``c * log2(c)`` by
+    their terms only.
     """
-    codes = F.transform(F.split(word, ""), lambda c: F.ascii(c) - 43)
-    term = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(0.0)
-    state = F.struct(F.array_repeat(F.lit(0), 80).alias("n"), F.lit(0.0).alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
-    places = F.transform(codes, lambda c, i: F.struct(c.alias("c"), i.alias("i"), F.when(i >= window, F.get(codes, i - window)).otherwise(-1).alias("gone")))
+    terms = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
+    most = math.log2(window)
+    state = F.struct(F.lit("A" * 80).alias("n"), F.lit(0.0).alias("s"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+
+    def step(acc: Column, i: Column, codes: Column) -> Column:  # i: number of characters read
+        place = lambda k: F.get(codes, k - 1)
+        count = lambda at: F.ascii(F.substr(acc["n"], at, F.lit(1))) - 65
+        put = lambda n, at, c: F.overlay(n, F.char(c + 65), at, F.lit(1))
+        term = lambda c: F.get(terms, c)
+
+        def moved(x: Column) -> Column:
+            grown = put(acc["n"], x["come"], x["had"] + 1)
+            n = F.when(x["come"] == x["gone"], acc["n"]).when(x["gone"] > 0, put(grown, x["gone"], x["lost"] - 1)).otherwise(grown)
+            s = F.when(x["come"] == x["gone"], acc["s"]).otherwise(acc["s"] + term(x["had"] + 1) - term(x["had"]) + F.when(x["gone"] > 0, term(x["lost"] - 1) - term(x["lost"])).otherwise(0.0))
+            return F.struct(n.alias("n"), s.alias("s"))
+
+        ends = let(F.struct(place(i).alias("come"), F.when(i > window, place(i - window)).otherwise(0).alias("gone")), lambda x: F.struct(x["come"].alias("come"), x["gone"].alias("gone"), count(x["come"]).alias("had"), F.when(x["gone"] > 0, count(x["gone"])).otherwise(0).alias("lost")))
+
+        def judged(x: Column) -> Column:
+            hit = (i >= window) & (most - x["s"] / window >= least)
+            return F.struct(x["n"].alias("n"), x["s"].alias("s"), F.when(hit & (acc["first"] < 0), i - window).otherwise(acc["first"]).alias("first"), F.when(hit, i).otherwise(acc["last"]).alias("last"))
 
-    def step(acc: Column, x: Column) -> Column:
-        come, gone, i = x["c"], x["gone"], x["i"]
-        n = F.transform(acc["n"], lambda c, k: c + F.when(k == come, 1).otherwise(0) - F.when(k == gone, 1).otherwise(0))
-        had, lost = F.get(acc["n"], come), F.get(acc["n"], gone)
-        s = F.when(come == gone, acc["s"]).otherwise(acc["s"] + term(had + 1) - term(had) + F.when(gone >= 0, term(lost - 1) - term(lost)).otherwise(0.0))
-        hit = (i >= window - 1) & (F.log2(F.lit(window)) - s / window >= least)
-        return F.struct(n.alias("n"), s.alias("s"), F.when(hit & (acc["first"] < 0), i - window + 1).otherwise(acc["first"]).alias("first"), F.when(hit, i + 1).otherwise(acc["last"]).alias("last"))
+        return let(let(ends, moved), judged)
 
-    return F.aggregate(places, state, step, lambda a: F.when(a["last"] >= 0, F.struct(a["first"].alias("first"), a["last"].alias("last"))))
+    told = lambda a: F.when(a["last"] >= 0, F.struct(a["first"].alias("first"), a["last"].alias("last")))
+    read = lambda codes: F.aggregate(F.sequence(F.lit(1), F.size(codes)), state, lambda acc, i: step(acc, i, codes), told)
+    return let(F.transform(F.split(word, ""), lambda c: F.ascii(c) - 42), read)
 
 
 def _spans(rows: Column, kind: int) -> Column:
@@ -101,17 +120,18 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast(f"array<{_SPAN}>")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    for k, ((kind, pattern, group, least), first) in enumerate(zip(BASE, FIRST)):
-        passing = F.filter(found(F.col("text"), pattern, group), lambda m: F.length(m["part"]) >= least)
-        rows = rows.withColumn(kind, F.when(F.col("text").rlike(first), _spans(passing, k)).otherwise(none))
+    for k, (kind, _, group, least) in enumerate(BASE):
+        passing = F.filter(found(F.col("text"), QUICK[kind], group), lambda m: F.length(m["part"]) >= least)
+        gate = _ASSIGN_PASSES if group else QUICK[kind]
+        rows = rows.withColumn(kind, F.when(F.col("text").rlike(gate), _spans(passing, k)).otherwise(none))
 
     allow = ALLOWED if allowed is None else allowed
     harmless = lambda w: F.coalesce(*[F.when(w.rlike(p), True) for p in allow], F.lit(False))
     least = lambda w: F.when(w.rlike(CLASSES[0][0]), CLASSES[0][1]).when(w.rlike(CLASSES[1][0]), CLASSES[1][1]).otherwise(CLASSES[2][1])
-    candidates = F.filter(found(F.col("text"), CANDIDATE), lambda m: ~harmless(m["whole"]))
-    ranges = F.transform(candidates, lambda m: F.struct(m["start"].alias("at"), entropy_range(m["whole"], least(m["whole"]), window).alias("r")))
+    candidates = F.filter(found(F.col("text"), _CANDIDATE), lambda m: ~harmless(m["whole"]))
+    ranges = F.transform(candidates, lambda m: let(least(m["whole"]), lambda bits: F.struct(m["start"].alias("at"), entropy_range(m["whole"], bits, window).alias("r"))))
     hot = F.transform(F.filter(ranges, lambda x: x["r"].isNotNull()), lambda x: F.struct((x["at"] + x["r"]["first"]).alias("start"), (x["at"] + x["r"]["last"]).alias("end")))
-    rows = rows.withColumn("entropy", F.when(F.col("text").rlike(CANDIDATE), _spans(hot, 3)).otherwise(none))
+    rows = rows.withColumn("entropy", F.when(F.col("text").rlike(_CANDIDATE), _spans(hot, 3)).otherwise(none))
 
     base = F.concat("assign", "access", "hex")
     return rows.select(

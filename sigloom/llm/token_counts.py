@@ -58,7 +58,8 @@ def token_counts(
 
     A null or empty text has 0 bytes and 0 tokens; a null id stays null. Other columns are not
     read. Texts over ``part_chars`` are cut at safe boundaries for byte-level vocabularies and
-    encoded whole for others. Nothing is shuffled, and a task holds one Arrow batch.
+    encoded whole for others. Each call of the encoder takes texts and parts of about
+    ``batch_bytes``. Nothing is shuffled, and a task holds one Arrow batch.
     """
     ship(docs.sparkSession)
 
@@ -73,7 +74,8 @@ def token_counts(
                 parts += own
                 owner += [row] * len(own)
             tokens = [0] * batch.num_rows
-            for lo, hi in balanced([len(p) for p in parts], batch_bytes):
+            sizes = [len(p) if p.isascii() else len(p.encode("utf-8", "surrogatepass")) for p in parts]
+            for lo, hi in balanced(sizes, batch_bytes):
                 for row, n in zip(owner[lo:hi], enc.counts(parts[lo:hi])):
                     tokens[row] += n
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens])], ["id", "n_bytes", "n_tokens", "over_limit"])

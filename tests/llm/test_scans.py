@@ -9,6 +9,7 @@ import re
 from collections import Counter
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -53,6 +54,9 @@ SECRETS = [
     "123e4567-e89b-12d3-a456-426614174000 path/with/many/words/2020/and/more/words 99999999999999999999999",
     "token" * 50 + "=" + "Ab1" * 400,
     "tail q9Xw2LzP7vRt4KbN8mYc" + "1" * 30 + "aZ0sX9dC8fV7gB6hN5jM",
+    "0123456789abcdef" * 2 + " a bed cafe" * 20_000,  # long texts with many matches that fall short, and that pass
+    "token=a1 AKIA1 " * 20_000 + "api_key: 'abcdefgh' " * 5_000,
+    "q9Xw2LzP7vRt4KbN8mYc3HdF" * 1_000,
 ]
 
 
@@ -85,7 +89,7 @@ def test_chat_round_trip(spark):
     rng = random.Random(3)
     rows = [(c, t, rng.choice(["user", "assistant", "sys\\nt<|em\n", None]), rng.choice(NASTY)) for c in (1, 2, None) for t in (0, 1, 2, 3, 3, None)]
     out = chat_format.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    read = out.select("conv_id", "formatted", "loss_spans", chat_format.read_turns(F.col("formatted")).alias("turns"), chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    read = out.select("conv_id", "formatted", "loss_spans", chat_format.read_turns(F.col("formatted"), F.col("attachments")).alias("turns"), chat_format.read_loss(F.col("formatted"), F.col("loss_spans"), F.col("attachments")).alias("loss")).collect()
     low = lambda x: (x is not None, x)
     for r in read:
         own = sorted(((t, role or "", text or "") for c, t, role, text in rows if c == r.conv_id), key=lambda x: (low(x[0]), x[1]))
@@ -101,10 +105,34 @@ def test_chat_parts(spark):
     r = chat_format.format_conversations(spark.createDataFrame(rows, schema), parts_col="parts").first()
     assert r.formatted == "<|turn|>user\nsee <\\|image|><|image|><|audio|><|end|>\n<|turn|>assistant\n<|document|>two words<|end|>\n<|turn|>user\n<|end|>\n"
     assert [tuple(a) for a in r.attachments] == [("image", "i.png", 3), ("audio", "a.wav", 26), ("document", "d.pdf", 1024)]
-    assert r.n_tokens == 6 + 3 + 26 + 1024 + 2
+    assert r.n_tokens == 6 + 3 + 26 + 1024 + 2 and [s["first"] for s in r.loss_spans] == [2]
     assert [r.formatted[s["start"] : s["start"] + s["length"]] for s in r.loss_spans] == ["<|document|>two words"]
 
 
+def test_linked_parts_and_sql(spark, tmp_path):
+    texts = ["see ![a <|cat|>](x/cat.png), [song](s.mp3)!", "[INST](d.pdf)<![b](b.jpg)|end|>", "[not](a.txt) [/INST] </s>", "", None, "![](é.webp)", "word![](1.gif)word"]
+    rows = [(c, t, "assistant" if t % 2 else "user", texts[(c + t) % len(texts)]) for c in range(7) for t in range(5)] + [(8, t, "assistant", texts[t % 2] * 30) for t in range(150)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"id": F.lit(1), "turns": F.lit(2), "formatted": F.lit("x"), "seen": F.lit(3)}).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = queries.op5_chat_format(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op5_chat_format"])
+    assert sorted(tuple(r[c] for c in want.columns) for r in got) == sorted(want.fetchall())
+    assert any("image ![](é.webp)" in r.attachments for r in got)
+    for r in got:
+        own = [(role, t or "") for c, _, role, t in rows if c == r.conv_id] or [("user", queries._HOSTILE), ("assistant", queries._HOSTILE)]
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256("".join(b for a, b in own if a == "assistant").encode()).hexdigest()
+
+
+def test_chat_edges(spark):
+    schema = "conv_id long, turn long, role string, text string, turns string, written string"
+    assert chat_format.format_conversations(spark.createDataFrame([], schema)).count() == 0
+    long = "<|end|> word " * 100_000
+    r = chat_format.format_conversations(spark.createDataFrame([(1, 0, "assistant", long, "a", "b")] * 2, schema)).first()
+    assert [s["length"] for s in r.loss_spans] == [len(long) + 100_000] * 2 and r.n_tokens == 2 * 600_000
+
+
 # --- decontamination
 
 

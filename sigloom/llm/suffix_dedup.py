@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settled, ship
@@ -89,11 +89,21 @@ def _is_low(grams: np.ndarray, low: np.ndarray, w: int) -> np.ndarray:
     return grams <= top[: len(grams)]
 
 
-def suffix_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in suffix order by their first ``least`` bytes, those only that share these with another.
+def gram_places(raw: bytes, h: int, q: int) -> np.ndarray:
+    """Where the q-gram with the hash ``h`` of :func:`runs` starts."""
+    power, inverse = _power(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
+    return np.flatnonzero(mixed((sums[q:] - sums[:-q]) * inverse[: len(raw) - q + 1]).view(np.int64) == h)
+
 
-    Returns the places and the class of each. Prefix doubling: ranks by 8 bytes, then by twice as
-    many from two ranks each; places whose rank is theirs alone are settled and drop out.
+def suffix_order(text: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffix array of the places that share their first ``least`` bytes with another, and each one's class.
+
+    Places of one class share those bytes, so between neighbours of the order the longest common
+    prefix reaches ``least`` exactly where the class goes on. Prefix doubling: ranks by 8 bytes,
+    then by twice as many from two ranks each; places whose rank is theirs alone are settled.
+    Suffixes are told apart up to ``longest`` bytes, equal ones ordered by place.
     """
     n = len(text)
     padded = np.zeros(n + 8, np.uint8)
@@ -104,14 +114,15 @@ def suffix_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
     size = 8 if least >= 8 else least
     words >>= np.uint64(8 * (8 - size))
     order = np.argsort(words, kind="stable")
-    rank = np.full(n + least + 1, -1, np.int64)
+    rank = np.full(n + 2 * max(least, longest) + 1, -1, np.int64)
     head = np.concatenate([[True], words[order][1:] != words[order][:-1]])
     starts = np.flatnonzero(head)
     rank[order] = starts[np.cumsum(head) - 1]
-    alive = np.repeat(np.diff(np.append(starts, n)) > 1, np.diff(np.append(starts, n)))
-    active = order[alive]
-    while size < least and len(active):
-        shift = min(size, least - size)
+    sizes = np.diff(np.append(starts, n))
+    active = order[np.repeat(sizes > 1, sizes)]
+    members, classes = active, rank[active]
+    while size < max(least, longest) and len(active):
+        shift = min(size, least - size) if size < least else size
         old = rank[active]
         key = old * (n + 2) + rank[active + shift] + 1
         o = np.argsort(key, kind="stable")
@@ -124,29 +135,45 @@ def suffix_classes(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray
         rank[active] = old + head_of - group_of
         active = active[np.repeat(each > 1, each)]
         size += shift
-    return active, rank[active]
+        if size <= least:
+            members, classes = active, rank[active]
+    o = np.lexsort((members, rank[members]))
+    return members[o], classes[o]
 
 
-def start_hashes(raw: bytes, least: int) -> np.ndarray:
-    """A 64-bit hash of the ``least`` bytes at every start."""
-    power, inverse = _power(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-    return mixed((sums[least:] - sums[:-least]) * inverse[: len(raw) - least + 1]).view(np.int64)
-
-
-def previous_factors(places: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """For places in suffix order: the previous smaller place in that order with the same class, or -1.
+def previous_smaller(places: np.ndarray, linked: np.ndarray) -> np.ndarray:
+    """For each index of the suffix order that of the nearest smaller place before it, -1 without one.
 
-    Within a class suffix order is taken by place, so the previous smaller place is the left
-    neighbour, and the next smaller one stands outside of the class, where less than the class's
-    length is shared. Capped at that length, this is the longest-previous-factor array.
+    ``linked[i]`` tells whether neighbours ``i - 1`` and ``i`` share enough; no search passes a
+    place where they do not. All searches step at once, each over what its last stop has found to
+    be larger; the few that go on for long are ended one by one.
     """
-    order = np.lexsort((places, classes))
-    out = np.full(len(places), -1, np.int64)
-    same = classes[order][1:] == classes[order][:-1]
-    out[order[1:][same]] = places[order[:-1][same]]
-    return out
+    found = np.where(linked, np.arange(len(places)) - 1, -1)
+    rest = np.flatnonzero(linked)
+    for _ in range(64):
+        rest = rest[found[rest] >= 0]
+        rest = rest[places[found[rest]] > places[rest]]
+        if not len(rest):
+            return found
+        found[rest] = found[found[rest]]
+    for i in rest.tolist():
+        j = int(found[i])
+        while j >= 0 and places[j] > places[i]:
+            j = int(found[j])
+        found[i] = j
+    return found
+
+
+def previous_factors(places: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By index of the suffix order the previous and the next smaller place that share a class, as indices or -1.
+
+    The longest match of a place that starts earlier is with one of the two. Capped at the
+    length that a class shares, the longest-previous-factor array is that length where either exists.
+    """
+    linked = np.concatenate([[False], classes[1:] == classes[:-1]])[: len(places)]
+    before = previous_smaller(places, linked)
+    turned = previous_smaller(places[::-1], np.concatenate([[False], linked[:0:-1]])[: len(places)])[::-1]
+    return before, np.where(turned >= 0, len(places) - 1 - turned, -1)
 
 
 def repeated_ranges(contents: list[bytes], many: list[bool], least: int, keep_first: bool) -> Iterator[tuple[int, int, int]]:
@@ -160,14 +187,15 @@ def repeated_ranges(contents: list[bytes], many: list[bool], least: int, keep_fi
     valid = np.zeros(len(text), bool)
     for b, c in zip(begins.tolist(), contents):
         valid[b : b + max(0, len(c) - least + 1)] = True
-    places, classes = suffix_classes(text, least)
+    places, classes = suffix_order(text, least, max(map(len, contents)))
     inside = valid[places]
     places, classes = places[inside], classes[inside]
-    earlier = previous_factors(places, classes)
+    before, after = previous_factors(places, classes)
     hit = np.zeros(len(text) + 1, bool)
-    hit[places[earlier >= 0]] = True
+    hit[places[(before >= 0) | (after >= 0)]] = True
     if not keep_first:
-        hit[earlier[earlier >= 0]] = True
+        for source in (before, after):
+            hit[places[source[source >= 0]]] = True
         for b, c, m in zip(begins.tolist(), contents, many):
             if m:
                 hit[b : b + len(c) - least + 1] = True
@@ -177,7 +205,26 @@ def repeated_ranges(contents: list[bytes], many: list[bool], least: int, keep_fi
         yield k, a - int(begins[k]), b - 1 + least - int(begins[k])
 
 
-def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep_first: bool, group_bytes: int = 3 << 19) -> DataFrame:
+def pieces(content: bytes, marks: np.ndarray, salt: int, least: int, step: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """``key, first start, mark, bytes`` of the pieces of a run, by how far its starts lie before a mark.
+
+    A mark is a place of the run's q-gram; each start belongs to the first mark from it on, and
+    equal strings lie as far before theirs. A piece holds the starts of one mark at distances
+    ``k * step`` to ``(k + 1) * step - 1``. All strings of that many bytes from there share the
+    bytes that the key is made of, so equal strings come to pieces of one key.
+    """
+    starts = np.arange(len(content) - least + 1)
+    mark = marks[np.searchsorted(marks, starts)]
+    block = (mark - starts) // step
+    cuts = np.flatnonzero(np.concatenate([[True], (mark[1:] != mark[:-1]) | (block[1:] != block[:-1])]))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(starts)]):
+        m, k = int(mark[a]), int(block[a])
+        core = content[m - k * step : m - (k + 1) * step + 1 + least]
+        key = xxhash.xxh3_64_intdigest(core, (salt + k) & ((1 << 64) - 1))
+        yield key - (1 << 64) if key >> 63 else key, a, m - a, content[a : b - 1 + least]
+
+
+def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep_first: bool, group_bytes: int = 1 << 20) -> DataFrame:
     """``(id, t, start, end)``, not yet merged: the byte ranges that repeat, by id and hash of the text."""
     spark = ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -203,40 +250,29 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     per = settled(kinds.groupBy("h").agg(F.sum(F.col("n") + least).alias("bytes")), "per")
     total = per.agg(F.sum("bytes")).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
-    plan = kinds.join(per, "h").withColumn("blocks", F.ceil(F.col("bytes") / group_bytes).cast("int"))
-    wanted = plan.groupBy("id", "t").agg(F.collect_list(F.struct("h", "c", "many", "blocks", "a", "n")).alias("wanted"))
+    plan = kinds.join(per, "h").withColumn("often", F.col("bytes") > group_bytes)
+    wanted = plan.groupBy("id", "t").agg(F.collect_list(F.struct("h", "c", "many", "often", "a", "n")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"id": "wanted_id", "t": "wanted_t"})
     found = rows.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("t") == F.col("wanted_t"))).select("id", "raw", "wanted")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int64(), pa.int64(), pa.int64(), None, pa.int32(), pa.binary(), pa.list_(pa.int64()))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), None, pa.int32(), pa.binary())
         for batch in by_bytes(batches, 1):
             out = []
             for i, raw, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                for w in own:
-                    part = raw[w["a"] : w["a"] + w["n"] - 1 + least]
-                    often = w["blocks"] > 1
-                    out.append((w["h"], w["c"], w["many"], i, w["a"], None if often else part, start_hashes(part, least) if often else None))
+                out += [(w["h"], w["c"], w["many"], w["often"], i, w["a"], raw[w["a"] : w["a"] + w["n"] - 1 + least]) for w in own]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k or batch.column(0).type) for x, k in zip(zip(*out), types)], ["h", "c", "many", "id", "a", "bytes", "starts"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, k or batch.column(0).type) for x, k in zip(zip(*out), types)], ["h", "c", "many", "often", "id", "a", "bytes"])
 
-    schema = f"h long, c long, many long, id {kind}, a int, bytes binary, starts array<long>"
-    got = found.mapInArrow(fetch, schema)
-    common = not plan.where("blocks > 1").isEmpty()
+    # One document gives the bytes of each kind; an id and text that are repeated give them again.
+    got = found.mapInArrow(fetch, f"h long, c long, many long, often boolean, id {kind}, a int, bytes binary")
+    common = not plan.where("often").isEmpty()
     if common:  # two readers
         got = settled(got, "contents")
-
-    def compare(table: pa.Table) -> pa.Table:
-        rows = list({(r["h"], r["c"]): r for r in table.to_pylist()}.values())
-        rows.sort(key=lambda r: (r["id"] is not None, r["id"], r["a"]) if r["id"] is not None else (False, 0, r["a"]))
-        found = [(rows[k]["h"], rows[k]["c"], a, b) for k, a, b in repeated_ranges([r["bytes"] for r in rows], [r["many"] > 1 for r in rows], least, keep_first)]
-        h, c, a, b = zip(*found) if found else ((), (), (), ())
-        return pa.table({"h": pa.array(h, pa.int64()), "c": pa.array(c, pa.int64()), "from": pa.array(a, pa.int32()), "to": pa.array(b, pa.int32())})
-
-    grouped = got.where("bytes is not null").select(F.pmod(F.xxhash64("h"), F.lit(groups)).alias("g"), "h", "c", "many", "id", "a", "bytes")
-    ranges = grouped.groupBy("g").applyInArrow(compare, "h long, c long, `from` int, `to` int")
+    ranges = _in_suffix_order(got.where("not often").select(F.col("h").alias("key"), F.col("c").alias("k"), "many", "id", F.col("a").alias("place"), "bytes"), groups, least, keep_first)
+    ranges = ranges.withColumnsRenamed({"key": "h", "k": "c"})
     if common:
-        ranges = ranges.unionAll(_common_ranges(got.where("starts is not null"), least, keep_first))
+        ranges = ranges.unionByName(_common_ranges(got.where("often").dropDuplicates(["h", "c"]), kind, least, keep_first, group_bytes))
     differ = told.where("not alike").join(ranges, ["h", "c"]).select("id", "t", "a", "n", "h", "c", (F.col("a") + F.col("from")).alias("start"), (F.col("a") + F.col("to")).alias("end"))
     whole = told.where("alike").select("id", "t", "a", "n", "h", "c", F.col("a").alias("start"), (F.col("a") + F.col("n") - 1 + least).alias("end"))
     if keep_first:
@@ -247,31 +283,71 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     return differ.unionAll(whole).select("id", "t", "start", "end")
 
 
-def _common_ranges(runs: DataFrame, least: int, keep_first: bool) -> DataFrame:
-    """What repeats among runs of q-grams that are too common for one group: ``h, c, from, to``.
+def _in_suffix_order(contents: DataFrame, groups: int, least: int, keep_first: bool) -> DataFrame:
+    """``key, k, from, to``: what repeats among the contents of each key; ``k`` names a content within its key."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        rows = list({(r["key"], r["k"]): r for r in table.to_pylist()}.values())
+        rows.sort(key=lambda r: (r["id"] is not None, r["id"], r["place"]) if r["id"] is not None else (False, 0, r["place"]))
+        found = [(rows[i]["key"], rows[i]["k"], a, b) for i, a, b in repeated_ranges([r["bytes"] for r in rows], [r["many"] > 1 for r in rows], least, keep_first)]
+        key, k, a, b = zip(*found) if found else ((), (), (), ())
+        return pa.table({"key": pa.array(key, pa.int64()), "k": pa.array(k, pa.int64()), "from": pa.array(a, pa.int32()), "to": pa.array(b, pa.int32())})
+
+    grouped = contents.select(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("g"), "key", "k", "many", "id", "place", "bytes")
+    return grouped.groupBy("g").applyInArrow(compare, "key long, k long, `from` int, `to` int")
 
-    Their starts are matched by hash. Tasks combine equal hashes before the shuffle, and the way
-    back is a plain join, so a passage that a third of all texts share loads no single task.
-    """
-    starts = runs.select("h", "c", "many", "id", "a", F.posexplode("starts").alias("at", "w"))
-    place = F.struct("id", F.col("a") + F.col("at"))
-    seen = starts.groupBy("w").agg(F.sum("many").alias("times"), F.min(place).alias("first")).where("times > 1")
-    hits = starts.join(seen, "w")
-    if keep_first:
-        hits = hits.where(~place.eqNullSafe(F.col("first")))
-    ends = hits.groupBy("h", "c").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    empty = F.array().cast("array<struct<from:int,to:int>>")
-    begin = F.struct(empty.alias("out"), F.lit(-1).alias("from"), F.lit(-1).alias("to"))
-    closed = lambda acc: F.when(acc["from"] < 0, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["from"].alias("from"), acc["to"].alias("to")))))
 
-    def step(acc: Column, at: Column) -> Column:
-        goes_on = at <= acc["to"]
-        return F.struct(F.when(goes_on, acc["out"]).otherwise(closed(acc)).cast("array<struct<from:int,to:int>>").alias("out"), F.when(goes_on, acc["from"]).otherwise(at).alias("from"), (at + least).alias("to"))
+def _common_ranges(runs: DataFrame, kind: str, least: int, keep_first: bool, group_bytes: int) -> DataFrame:
+    """What repeats among runs of q-grams that are too common for one group: ``h, c, from, to``.
 
-    return ends.select("h", "c", F.inline(F.aggregate("at", begin, step, closed))).select("h", "c", "from", "to")
+    Runs are cut into pieces that meet by the bytes their strings share (:func:`pieces`), equal
+    pieces are combined by their full bytes, and what is left of a key goes into suffix order. A
+    key that still has too many bytes is cut finer; at the finest, a piece is one string and its
+    key has no other.
+    """
+    q = _Q if least >= 2 * _Q else max(1, least // 2)
+    steps = [s for s in (64, 8, 1) if s <= max(1, least // 4)]
+    level = runs.select("h", "c", "many", "id", F.col("a").alias("run"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("mark"), "bytes")
+    out = None
+    for step in steps:
+
+        def cut(batches: Iterator[pa.RecordBatch], step=step) -> Iterator[pa.RecordBatch]:
+            types = (*[pa.int64()] * 4, None, pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            for batch in by_bytes(batches, 7, 1 << 18):
+                rows = []
+                for h, c, many, i, run, at, mark, content in zip(*(x.to_pylist() for x in batch.columns)):
+                    marks = gram_places(content, h, q) if mark is None else np.array([mark])
+                    rows += [(key, h, c, many, i, run, at + a, m, part) for key, a, m, part in pieces(content, marks, h, least, step)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k or batch.column(3).type) for x, k in zip(zip(*rows), types)], ["key", "h", "c", "many", "id", "run", "at", "mark", "bytes"])
+
+        place = F.col("run") + F.col("at")
+        parts = level.mapInArrow(cut, f"key long, h long, c long, many long, id {kind}, run int, at int, mark int, bytes binary")
+        parts = settled(parts.withColumn("k", F.xxhash64("mark", "bytes")), "parts")
+        kinds = parts.groupBy("key", "k", "mark", "bytes").agg(F.sum("many").alias("many"), F.min(F.struct("id", place.alias("place"))).alias("first"))
+        kinds = settled(kinds.select("key", "k", "many", "first", "first.*", "bytes"), "kinds")
+        per = settled(kinds.groupBy("key").agg(F.sum("many").alias("times"), F.sum(F.octet_length("bytes")).alias("size")).where("times > 1"), "per")
+        finest = step == steps[-1]
+        close = per if finest else per.where(F.col("size") <= group_bytes)
+        total = close.agg(F.sum("size")).first()[0] or 0
+        found = _in_suffix_order(kinds.join(close.select("key"), "key").drop("first"), max(1, -(-total // group_bytes)), least, keep_first)
+        if keep_first:  # the first piece of a kind stands for it; all others are repeats as a whole
+            found = settled(found, "ranges")
+            told = parts.join(kinds.join(close.select("key"), "key").select("key", "k", "first"), ["key", "k"]).withColumn("later", ~F.struct("id", place.alias("place")).eqNullSafe(F.col("first")))
+            whole = told.where("later").select("h", "c", F.col("at").alias("from"), (F.col("at") + F.octet_length("bytes")).alias("to"))
+            told = told.where("not later")
+        else:
+            whole, told = None, parts
+        ranges = told.join(found, ["key", "k"]).select("h", "c", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to"))
+        for part in filter(None, (ranges, whole)):
+            out = part if out is None else out.unionAll(part)
+        if finest or per.where(F.col("size") > group_bytes).isEmpty():
+            break
+        level = parts.join(per.where(F.col("size") > group_bytes).select("key"), "key").select("h", "c", "many", "id", "run", "at", "mark", "bytes")
+    return out
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, keep_first: bool = True, with_text: bool = False, group_bytes: int = 3 << 19) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 400, keep_first: bool = True, with_text: bool = False, group_bytes: int = 1 << 20) -> DataFrame:
     """One row per input row: id, ``n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept_bytes``).
 
     Texts are UTF-8 bytes. A byte goes if a string of ``least`` bytes covers it that also starts

@@ -194,7 +194,7 @@ def test_leak_edges(edges, nothing, spark):
 
 @pytest.mark.parametrize("least", [7, 24])
 @pytest.mark.parametrize("keep_first", [False, True])
-@pytest.mark.parametrize("group_bytes", [3 << 19, 300])
+@pytest.mark.parametrize("group_bytes", [1 << 20, 300])
 def test_repeats(spark, least, keep_first, group_bytes):
     rng = random.Random(least)
     rows = [(k, "".join(rng.choice("abé") for _ in range(rng.randrange(0, 70)))) for k in range(60)]
@@ -205,25 +205,55 @@ def test_repeats(spark, least, keep_first, group_bytes):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept_bytes)) for r in got} == want
 
 
-def test_suffix_classes_sort_suffixes():
+def test_suffix_order_and_previous_factors():
     rng = np.random.default_rng(5)
-    text = rng.integers(97, 99, 400).astype(np.uint8)
-    raw = text.tobytes()
-    for least in (3, 8, 13, 40):
-        places, classes = suffix_dedup.suffix_classes(text, least)
-        inside = places <= len(raw) - least
-        groups = {}
-        for i in range(len(raw) - least + 1):
-            groups.setdefault(raw[i : i + least], []).append(i)
-        want = {i for own in groups.values() if len(own) > 1 for i in own}
-        assert want <= set(places.tolist())
-        order = {}
-        for p, c in zip(places[inside].tolist(), classes[inside].tolist()):
-            if p in want:
-                order.setdefault(c, set()).add(raw[p : p + least])
-        assert all(len(x) == 1 for x in order.values())
-        keys = [next(iter(order[c])) for c in sorted(order)]
-        assert keys == sorted(keys)
+    for letters, n in ((2, 400), (1, 150), (4, 600)):
+        text = rng.integers(97, 97 + letters, n).astype(np.uint8)
+        text[40:70] = text[:30]
+        raw = text.tobytes()
+        for least in (3, 8, 13, 40):
+            places, classes = suffix_dedup.suffix_order(text, least, n)
+            inside = places <= n - least
+            places, classes = places[inside], classes[inside]
+            groups = {}
+            for i in range(n - least + 1):
+                groups.setdefault(raw[i : i + least], []).append(i)
+            want = sorted((i for own in groups.values() if len(own) > 1 for i in own), key=lambda i: raw[i:])
+            kept = [p for p in places.tolist() if len(groups[raw[p : p + least]]) > 1]
+            assert kept == want
+            before, after = suffix_dedup.previous_factors(places, classes)
+            for i, p in enumerate(places.tolist()):
+                earlier = [j for j in groups[raw[p : p + least]] if j < p]
+                assert bool(earlier) == bool(before[i] >= 0 or after[i] >= 0)
+                near = {int(places[j]) for j in (before[i], after[i]) if j >= 0}
+                lcp = lambda j: next((k for k in range(n - p) if raw[j + k] != raw[p + k]), n - p)
+                assert near <= set(earlier)
+                if earlier:  # one of the two has the longest match with an earlier place
+                    assert max(map(lcp, near)) == max(map(lcp, earlier))
+
+
+def test_previous_smaller_on_hard_orders():
+    for places in (np.arange(500), np.arange(500)[::-1], np.concatenate([np.arange(1, 500), [0]]), np.random.default_rng(1).permutation(500)):
+        linked = np.ones(500, bool)
+        linked[[0, 250]] = False
+        got = suffix_dedup.previous_smaller(places, linked)
+        for i in range(500):
+            low = 250 if i >= 250 else 0
+            assert got[i] == max((j for j in range(low, i) if places[j] < places[i]), default=-1)
+
+
+def test_a_passage_in_many_texts(spark):
+    """Runs that differ at a common passage's edges are cut down to single strings."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = word(700)
+    rows = [(k, word(rng.randrange(300, 500)) + passage[rng.randrange(3) * 90 :] + word(rng.randrange(300, 500))) for k in range(60)] + [(100, passage), (101, word(900))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for keep_first in (False, True):
+        want = {i: (m, s, hashlib.sha256(k).hexdigest()) for i, _, m, s, k in brute.repeated(rows, 400, keep_first)}
+        for group_bytes in (1 << 20, 6_000, 400):
+            got = suffix_dedup.remove_repeats(df, least=400, keep_first=keep_first, group_bytes=group_bytes).collect()
+            assert {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
 
 
 def test_repeat_edges(edges, nothing):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..session import ship
+from ..session import released, settled, ship
 from .batches import by_bytes
 
 Q = 8  # bytes, so that a q-gram is one unsigned 64-bit number
@@ -99,32 +99,57 @@ def band_distance(item: bytes, region: bytes, low: int, high: int) -> tuple[int,
     return int(row[best]), int(d[best]) + len(p)
 
 
-def regions(raw: bytes, index: Index) -> list[tuple[int, int, int]]:
-    """``(item, first diagonal, last diagonal)`` of the band pairs that share enough q-grams."""
+def regions(raw: bytes, index: Index, window: int = 1 << 16, most_postings: int = 1 << 20) -> Iterator[tuple[int, int, int]]:
+    """``(item, first diagonal, last diagonal)`` of the regions whose band pairs share enough q-grams.
+
+    Shared q-grams are counted window by window of the text, each prolonged by what the longest
+    item and two bands can reach, so that every band pair lies whole in one. Within a window
+    postings are taken up ``most_postings`` at a time: what is held does not grow with how often
+    a q-gram occurs, and none is left out. A pair that two windows see may come twice.
+    """
     grams = qgrams(raw)
     hit = np.flatnonzero(index.table[(grams * _SPREAD) >> np.uint64(64 - _TABLE_BITS)])
     if not len(hit):
-        return []
+        return
     found = np.searchsorted(index.grams, grams[hit])
     found[found == len(index.grams)] = 0
     real = index.grams[found] == grams[hit]
     hit, found = hit[real], found[real]
-    lo, n = index.first[found], index.first[found + 1] - index.first[found]
-    post = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-    item = index.item[post]
     longest = int(max(map(len, index.items)))
-    band = (np.repeat(hit, n) - index.at[post] + longest) // index.width[item]
+    reach = longest + 2 * int(index.width.max())
+    window = max(window, 4 * reach)
     bands = (len(raw) + longest) // 16 + 3
-    keys, counts = np.unique(item * bands + band, return_counts=True)
-    both = counts.copy()
-    both[:-1] += np.where(keys[1:] == keys[:-1] + 1, counts[1:], 0)
-    good = np.flatnonzero(both >= index.bound[keys // bands])
-    out = []
-    for k in keys[good]:
-        i, b = divmod(int(k), bands)
-        w = int(index.width[i])
-        out.append((i, b * w - longest, (b + 2) * w - longest - 1))
-    return out
+    # A pair's hits start at its first diagonal at the earliest: windows before the first hit's see it too.
+    for k in sorted({*(hit // window).tolist(), *np.maximum(0, (hit - reach) // window).tolist()}):
+        lo, hi = np.searchsorted(hit, [k * window, (k + 1) * window + reach]).tolist()
+        if lo == hi:
+            continue
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        n = index.first[found[lo:hi] + 1] - index.first[found[lo:hi]]
+        part = np.cumsum(n) // most_postings
+        cuts = [lo, *(lo + 1 + np.flatnonzero(np.diff(part))).tolist(), hi]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            start, n = index.first[found[a:b]], index.first[found[a:b] + 1] - index.first[found[a:b]]
+            post = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            item = index.item[post]
+            band = (np.repeat(hit[a:b], n) - index.at[post] + longest) // index.width[item]
+            own, times = np.unique(item * bands + band, return_counts=True)
+            keys, place = np.unique(np.concatenate([keys, own]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, times]), len(keys)).astype(np.int64)
+        both = counts.copy()
+        both[:-1] += np.where(keys[1:] == keys[:-1] + 1, counts[1:], 0)
+        good = keys[both >= index.bound[keys // bands]]
+        # Pairs that lie one after the other are one region: it is aligned at once.
+        for own in np.split(good, np.flatnonzero(np.diff(good) > 1) + 1) if len(good) else ():
+            for i, (a, b) in _by_item(own, bands):
+                w = int(index.width[i])
+                yield i, a * w - longest, (b + 2) * w - longest - 1
+
+
+def _by_item(keys: np.ndarray, bands: int) -> Iterator[tuple[int, tuple[int, int]]]:
+    """A chain of keys as item with first and last band."""
+    for own in np.split(keys, np.flatnonzero(np.diff(keys // bands)) + 1):
+        yield int(own[0] // bands), (int(own[0] % bands), int(own[-1] % bands))
 
 
 def matches(raws: list[bytes], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
@@ -148,7 +173,7 @@ def matches(raws: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
             if (exact := region.find(item)) >= 0:
                 found = (0, a + exact, a + exact + len(item))
             else:
-                edits, end = band_distance(item, region, low - e - at - a, high + e - at - a)
+                edits, end = band_distance(item, region, max(low - e - at - a, -len(item)), min(high + e - at - a, len(region)))
                 if edits > e:
                     continue
                 back = region[max(0, end - len(item) - e) : end][::-1]
@@ -159,14 +184,14 @@ def matches(raws: list[bytes], index: Index) -> Iterator[tuple[int, int, int, in
         yield row, i, *found
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple]]:
-    """The benchmark's items, in blocks of about ``block_bytes``."""
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[int, Iterator[list[tuple]]]:
+    """How many blocks of about ``block_bytes`` the benchmark's items make, and the blocks, one at a time."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull()).dropDuplicates()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(total / block_bytes))
-    for k in range(n):
-        rows = items if n == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        yield [tuple(r) for r in rows.collect()]
+    if n > 1:
+        items = settled(items.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n))), "items")
+    return n, ([(r["id"], r["text"]) for r in (items if n == 1 else items.where(F.col("block") == k)).collect()] for k in range(n))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = 0.08, block_bytes: int = 4 << 20) -> DataFrame:
@@ -174,8 +199,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     An item is found where at most ``rate`` of its bytes need an edit (fewer if it is so short
     that no q-gram would be left), case of A-Z and kind of white space aside. The best place is
-    reported, the first of equals. Every text is read whole; the benchmark goes to the tasks in
-    blocks of ``block_bytes``, each block against all documents, and no document is shuffled.
+    reported, the first of equals. Every text is read whole, and no document is shuffled. The
+    benchmark goes to the tasks in blocks of ``block_bytes``: one pass over the documents for a
+    benchmark up to that size; of a larger one the driver holds one block at a time, and each
+    block's rows are written before the next.
 
     Null and empty texts and items, and items under 8 bytes, match nothing. Repeated documents
     repeat their rows; repeated items count once. Null ids stay null; other columns are not read.
@@ -184,7 +211,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     kinds = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.octet_length("text") >= Q)
     item_type, out = to_arrow_type(benchmark.schema[item_id_col].dataType), None
-    for block in _blocks(benchmark, item_id_col, item_text_col, block_bytes):
+    n, blocks = _blocks(benchmark, item_id_col, item_text_col, block_bytes)
+    for block in blocks:
 
         def find(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = Index.build(block, rate)
@@ -196,6 +224,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                     yield pa.RecordBatch.from_arrays([pa.array(a, batch.column(0).type), pa.array(b, item_type), *[pa.array(x, pa.int64()) for x in rest]], ["id", "item", "edits", "start_byte", "end_byte"])
 
         part = rows.mapInArrow(find, f"id {kinds[0]}, item {kinds[1]}, edits long, start_byte long, end_byte long")
+        part = part if n == 1 else settled(part, "leaks")
         out = part if out is None else out.unionAll(part)
     return out.withColumnsRenamed({"id": id_col, "item": item_id_col})
 
@@ -207,8 +236,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     null or empty texts stay, and so do all rows if the benchmark is empty.
     """
     ship(docs.sparkSession)
-    place = docs.columns.index(text_col)
-    for block in _blocks(benchmark, item_id_col, item_text_col, block_bytes):
+    place, before = docs.columns.index(text_col), None
+    n, blocks = _blocks(benchmark, item_id_col, item_text_col, block_bytes)
+    for block in blocks:
 
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = Index.build(block, rate)
@@ -219,4 +249,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 yield batch.filter(pa.array(clean))
 
         docs = docs.mapInArrow(keep, docs.schema)
+        if n > 1:
+            own, docs = before, settled(docs, "clean")
+            released(own)
+            before = docs
     return docs

@@ -27,6 +27,7 @@ from .shingles import mixed, shingle_sets
 _K1, _K2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _ALL = (1 << 64) - 1
 _SHINGLE_BYTES = 6  # about a word and its blank
+_BUCKETS_A_TASK = 4
 
 
 class Threshold:
@@ -222,7 +223,7 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, buckets: int = 0, group_bytes: int = 4 << 20, most_common: int = 1 << 17
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, bucket_bytes: int = 4 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17
 ) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``.
 
@@ -231,7 +232,9 @@ def jaccard_components(
     with nothing and is its own component. Null ids sort before others and repeated rows link
     with each other. An empty table gives no rows; other columns are not read.
 
-    Sets are identified by 64-bit hashes of 64-bit shingle hashes. A candidate component over
+    Sets are identified by 64-bit hashes of 64-bit shingle hashes. Signatures meet in buckets whose
+    number follows their measured bytes; a task reads its buckets in order and holds one of about
+    ``bucket_bytes`` at a time, and writes a link once. A candidate component over
     ``group_bytes`` of text is cut into blocks, each joined by itself and with one leading set;
     then what is not connected to the leader is joined with every block. Sets that are alike, as
     in a large group of near copies, so cost a group's size and not its square, and no task holds
@@ -243,26 +246,27 @@ def jaccard_components(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1):
-            n, v = [], []
+        names = ["id", "n", "v", "h", "k"]
+        for batch in by_bytes(batches, 1, 8 << 20):
+            n, v, found = [], [], []
             for own in shingle_sets(batch.column(1).to_pylist(), words):
                 n.append(len(own))
                 v.append(vertex(own) if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64())], ["id", "n", "v"])
-
-    sets = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long"), "sets")
-    # A linked pair meets in most of up to 128 buckets already, so its rows do not grow with their number.
-    buckets = buckets or max(128, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 0, 12 << 20):
-            found = [own for own in shingle_sets(batch.column(0).to_pylist(), words) if len(own)]
-            if found:
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h[n > 2].view(np.int64)), pa.array(n[n > 2].astype(np.int64))], ["h", "n"])
+                found.append(own)
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64()), none, none], names)
+            h, k = np.unique(np.concatenate(found), return_counts=True)
+            h, k = h[k > 2], k[k > 2]
+            none = pa.nulls(len(h), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), batch.column(0).type), none, none, pa.array(h.view(np.int64)), pa.array(k.astype(np.int64))], names)
+
+    measured = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long, h long, k long"), "sets")
+    sets = measured.where("h is null").select("id", "n", "v")
+    # A signature has 8 bytes, and a set about half as many signatures as shingles.
+    buckets = max(1, -(-4 * (sets.agg(F.sum("n")).first()[0] or 0) // bucket_bytes))
 
     # Well-known shingles only steer how sets are dealt out, so a bounded list of the most common will do.
-    counted = rows.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = measured.where("h is not null").groupBy("h").agg(F.sum("k").alias("n"))
     common = np.sort(np.array([r["h"] for r in counted.orderBy(F.desc("n"), "h").limit(most_common).collect()], np.int64).view(np.uint64))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,16 +294,36 @@ def jaccard_components(
             k, *blobs = zip(*out)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]], ["bucket", "sigs", "links"])
 
-    def meet(table: pa.Table) -> pa.Table:
-        parts = [unpacked(b) for b in table.column("sigs").to_pylist() if b]
-        links = [np.frombuffer(b"".join(table.column("links").to_pylist()), np.int64).reshape(-1, 2)]
-        if parts:
-            links.append(star(*map(np.concatenate, zip(*parts)))[2])
-        links = np.unique(np.concatenate(links), axis=0)
-        return pa.table({"a": links[:, 0], "b": links[:, 1]})
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bucket after bucket; links that a task finds again in its next bucket are not written again."""
+        now, held = None, []
+        links = np.zeros((0, 2), np.int64)
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket, sigs, own = (c[i].as_py() for c in batch.columns)
+                if bucket != now and held:
+                    links = np.unique(np.concatenate([links, star(*map(np.concatenate, zip(*held)))[2]]), axis=0)
+                    held = []
+                now = bucket
+                if sigs:
+                    held.append(unpacked(sigs))
+                if own:
+                    links = np.unique(np.concatenate([links, np.frombuffer(own, np.int64).reshape(-1, 2)]), axis=0)
+                if len(links) > 1 << 20:
+                    yield rows()
+                    links = links[:0]
+        if held:
+            links = np.unique(np.concatenate([links, star(*map(np.concatenate, zip(*held)))[2]]), axis=0)
+        if len(links):
+            yield rows()
 
     signed = rows.select("text").mapInArrow(sign, "bucket int, sigs binary, links binary")
-    candidates = components(signed.groupBy("bucket").applyInArrow(meet, "a long, b long"))
+    dealt = signed.repartition(max(1, -(-buckets // _BUCKETS_A_TASK)), "bucket").sortWithinPartitions("bucket")
+    candidates = components(dealt.mapInArrow(meet, "a long, b long"))
 
     # One document stands for each candidate vertex; its text goes to its component's group.
     one = sets.where("v is not null").groupBy("v").agg(F.min("id").alias("id"), F.min("n").alias("n"))

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -179,6 +180,34 @@ def test_leaks_against_alignment_of_everything(spark):
     assert len(want) > 20
 
 
+def test_windows_and_blocks_change_nothing():
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcde ") for _ in range(n))
+    items = [(i, word(rng.randrange(20, 200))) for i in range(20)]
+    text = word(500)
+    for i, x in items:
+        text += x[: len(x) // 2] + "z" + x[len(x) // 2 :] + word(rng.randrange(60, 2000))
+    index = decontam.Index.build(items, 0.08)
+    spans = lambda *a: {(i, d) for i, low, high in decontam.regions(text.encode(), index, *a) for d in range(low, high + 1)}
+    assert spans(1, 50) == spans()
+    assert {r[1] for r in decontam.matches([text.encode()], index)} == set(range(20))
+
+
+def test_leaks_in_long_repetitive_texts(spark):
+    a = "a" * 80
+    items = [(1, a), (2, a[:40] + " unlike the rest of it " + a[:40]), (3, "b" * 30 + "c" * 30)] + [(10 + i, f"plain item {i} of many, {'xyz' * 9}") for i in range(5)]
+    docs = [(1, "a" * 1_000_000), (2, "b" * 1_000_000 + "c" * 40), (3, "clean text")]
+    x, y = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block_bytes in (4 << 20, 64):
+        assert sorted((r.doc_id, r.item_id, r.edits) for r in decontam.find_leaks(x, y, block_bytes=block_bytes).collect()) == [(1, 1, 0), (2, 3, 0)]
+        assert [r.doc_id for r in decontam.decontaminate(x, y, block_bytes=block_bytes).collect()] == [3]
+    index = decontam.Index.build(items, 0.08)
+    tracemalloc.start()
+    assert sum(1 for _ in decontam.regions(b"a" * 1_000_000, index)) > 0
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+
+
 def test_leak_edges(edges, nothing, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(edges, none).count() == 0 and decontam.decontaminate(edges, none).count() == edges.count()
@@ -288,8 +317,9 @@ def test_jaccard_components(spark, share, words, group_bytes):
         rows.append((1000 + k, " ".join(w)))
     rows += [(2000, None), (2001, ""), (2002, " ")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = jaccard_join.jaccard_components(df, words=words, threshold=jaccard_join.Threshold(share, 100), group_bytes=group_bytes)
-    assert {r[0]: tuple(r[1:]) for r in got.collect()} == brute.jaccard_components(rows, words, share)
+    for bucket_bytes in (4 << 20, 200):
+        got = jaccard_join.jaccard_components(df, words=words, threshold=jaccard_join.Threshold(share, 100), group_bytes=group_bytes, bucket_bytes=bucket_bytes)
+        assert {r[0]: tuple(r[1:]) for r in got.collect()} == brute.jaccard_components(rows, words, share)
 
 
 def test_jaccard_on_documents(spark, sf_dir):

@@ -225,7 +225,7 @@ def pieces(content: bytes, marks: np.ndarray, salt: int, least: int, step: int)
 
 
 def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep_first: bool, group_bytes: int = 1 << 20) -> DataFrame:
-    """``(id, t, start, end)``, not yet merged: the byte ranges that repeat, by id and hash of the text."""
+    """``(id, t, spans)``, not yet merged: byte ranges ``start, end`` that repeat, by id and hash of the text."""
     spark = ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -273,14 +273,16 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, least: int, keep
     ranges = ranges.withColumnsRenamed({"key": "h", "k": "c"})
     if common:
         ranges = ranges.unionByName(_common_ranges(got.where("often").dropDuplicates(["h", "c"]), kind, least, keep_first, group_bytes))
-    differ = told.where("not alike").join(ranges, ["h", "c"]).select("id", "t", "a", "n", "h", "c", (F.col("a") + F.col("from")).alias("start"), (F.col("a") + F.col("to")).alias("end"))
-    whole = told.where("alike").select("id", "t", "a", "n", "h", "c", F.col("a").alias("start"), (F.col("a") + F.col("n") - 1 + least).alias("end"))
+    # A run's ranges travel as one row. Written first, they are a plain side of the join, as above.
+    ranges = settled(ranges.groupBy("h", "c").agg(F.collect_set(F.struct("from", "to")).alias("ranges")), "ranges")
+    moved = F.transform("ranges", lambda r: F.struct((F.col("a") + r["from"]).alias("start"), (F.col("a") + r["to"]).alias("end")))
+    differ = told.where("not alike").join(ranges, ["h", "c"]).select("id", "t", moved.alias("spans"))
+    whole = F.array(F.struct(F.col("a").alias("start"), (F.col("a") + F.col("n") - 1 + least).alias("end"))).alias("spans")
     if keep_first:
         firsts = told.groupBy("h", "c").agg(F.min(F.struct("id", "a")).alias("f"))
         later = told.join(firsts, ["h", "c"]).where(~F.struct("id", "a").eqNullSafe(F.col("f")))
-        rest = later.select("id", "t", F.col("a").alias("start"), (F.col("a") + F.col("n") - 1 + least).alias("end"))
-        return differ.select("id", "t", "start", "end").unionAll(rest)
-    return differ.unionAll(whole).select("id", "t", "start", "end")
+        return differ.unionAll(later.select("id", "t", whole))
+    return differ.unionAll(told.where("alike").select("id", "t", whole))
 
 
 def _in_suffix_order(contents: DataFrame, groups: int, least: int, keep_first: bool) -> DataFrame:
@@ -359,7 +361,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first. An empty table gives no rows; other columns are not read.
     """
     spans = repeated_spans(docs, id_col, text_col, least, keep_first, group_bytes)
-    spans = spans.groupBy("id", "t").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = spans.groupBy("id", "t").agg(F.flatten(F.collect_set("spans")).alias("spans"))
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("t"), F.encode(text, "UTF-8").alias("raw"))

@@ -27,7 +27,7 @@ from .shingles import mixed, shingle_sets
 _K1, _K2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _ALL = (1 << 64) - 1
 _SHINGLE_BYTES = 6  # about a word and its blank
-_BUCKETS_A_TASK = 4
+_BUCKETS_A_TASK = 16
 
 
 class Threshold:
@@ -223,7 +223,7 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, bucket_bytes: int = 4 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, bucket_bytes: int = 1 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17
 ) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``.
 

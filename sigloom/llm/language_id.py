@@ -87,10 +87,11 @@ def fit_languages(
 
 def filled(texts: list[bytes], most: int) -> list[bytes]:
     """The texts cut to one length so that with a byte between them they come to ``most`` bytes, or whole if they are less."""
+    texts = texts[: (most + 1) // 2]  # so that each gets a byte at least
     room, left = most - len(texts) + 1, len(texts)
     for n in sorted(map(len, texts)):
         if n * left > room:
-            return [t[: max(1, room // left)] for t in texts][:most]
+            return [t[: room // left] for t in texts]
         room, left = room - n, left - 1
     return texts
 

@@ -373,3 +373,24 @@ def test_pipeline_stages_against_plain_versions(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r.doc_id for r in out} == left - near
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_pipeline_stages_take_anything(spark, edges, nothing, sf_dir, k):
+    """Nulls in every column, empty and long texts, repeated rows, clashing columns, an empty table."""
+    name, stage = corpus_pipeline.STAGES[k]
+    out = stage(spark, edges, sf_dir)
+    rows = out.collect()
+    ids = Counter(r.doc_id for r in rows)
+    if k < 4:
+        assert out.columns == edges.columns
+        assert all(r.text is None or r.text in {e.text for e in edges.collect()} for r in rows)
+    want = {
+        "language ID": lambda: not {1, 2, 3} & set(ids),
+        "exact dedup": lambda: ids[7] == 1 and ids[5] == 1 and not ids[4] and ids[6] == 1,
+        "n-gram Jaccard join": lambda: ids[4] == 1 and not ids[5] and not ids[6] and ids[1] == ids[2] == ids[3] == 1 and ids[None] == 2,
+        "benchmark decontamination": lambda: len(rows) == edges.count(),
+        "packing": lambda: ids[7] == 2 and ids[1] == ids[2] == 1 and ids[4] > 10,
+    }
+    assert want[name]()
+    assert stage(spark, nothing, sf_dir).count() == 0

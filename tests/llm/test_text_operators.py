@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -198,9 +199,71 @@ def test_language_edges(edges, nothing, spark):
     assert kept.count() == same
 
 
+def test_language_against_plain_compression(spark, edges, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit_languages(docs)
+    assert all(24_000 <= len(c) <= 32_000 for c in model.content.values())
+
+    def size(text, lang):
+        total, raw = 0, text.encode()
+        for start in range(0, len(raw), 4096):
+            words = zstandard.ZstdCompressionDict(model.content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            words.precompute_compress(level=6)
+            total += len(zstandard.ZstdCompressor(dict_data=words, level=6, write_checksum=False, write_content_size=False, write_dict_id=False).compress(raw[start : start + 4096]))
+        return total
+
+    texts = {r.doc_id: r.text for r in docs.limit(60).collect()}
+    got = {r.doc_id: r for r in language_id.predict_languages(docs, model).collect()}
+    for i, text in texts.items():
+        if text and any(c.isalpha() for c in text):
+            first, second = sorted((size(text, lang), lang) for lang in model.content)[:2]
+            assert got[i].lang_pred == first[1] and got[i].score == (second[0] - first[0]) / second[0] and got[i].rejected == (got[i].score < 0.01)
+        else:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+
+
+def test_language_sample_is_bounded_and_spread(spark):
+    rows = [(7, "a" + "x" * 500 + "END", "en")] * 300 + [(8, "short", "de"), (9, "ab " * 20_000 + "tail", "fr"), (10, "1234", "fr"), (None, "null id", "fr")]
+    model = language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.content["en"] == rows[0][1].encode() and model.content["de"] == b"short"
+    assert 24_000 <= len(model.content["fr"]) <= 32_000
+    for sizes in ([5, 5, 100], [40, 41, 42], [1], [0, 0, 200], [200] * 70):
+        out = language_id.filled([b"z" * n for n in sizes], 60)
+        assert len(b"\n".join(out)) <= max(60, 1) and (sum(sizes) + len(sizes) - 1 > 60 or [len(x) for x in out] == sizes)
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_languages=2)
+
+
 # --- sharding
 
 
+def plain_kd(points, dims, shards, whole=None):
+    """Shards of points (weight, *keys), split one by one."""
+    if shards == 1 or not points:
+        return {tuple(p): 0 for p in points}
+    spans = lambda ps: [max(p[d] for p in ps) - min(p[d] for p in ps) for d in dims]
+    whole = whole or [max(1, x) for x in spans(points)]
+    parts = [x / w for x, w in zip(spans(points), whole)]
+    d = dims[parts.index(max(parts))]
+    goal = sum(p[0] for p in points) * (shards // 2) / shards
+    cuts = sorted({p[d] for p in points} | {max(p[d] for p in points) + 1})
+    below = lambda c: sum(p[0] for p in points if p[d] < c)
+    cut = min(cuts, key=lambda c: abs(below(c) - goal))
+    low, high = [p for p in points if p[d] < cut], [p for p in points if p[d] >= cut]
+    half = shards // 2
+    return plain_kd(low, dims, half, whole) | {p: k + half for p, k in plain_kd(high, dims, shards - half, whole).items()}
+
+
+@pytest.mark.parametrize("shards", [2, 5, 24])
+def test_kd_tree_is_the_plain_split(spark, shards):
+    rng = np.random.default_rng(shards)
+    rows = list({tuple(map(int, r)): None for r in np.column_stack([rng.integers(1, 100_000, 700), rng.integers(0, 5000, 700), rng.integers(0, 300, 700) ** 2 // 30])})
+    df = spark.createDataFrame(rows, "size long, x long, y long")
+    placed = df.withColumn("shard", sharding.kd_tree(df, ["x", "y"], shards).place())
+    assert {(r.size, r.x, r.y): r.shard for r in placed.collect()} == plain_kd(rows, [1, 2], shards)
+
+
+
 def check_shards(rows, texts, shards):
     by = defaultdict(list)
     for r in rows:

@@ -293,3 +293,13 @@ def test_shard_edges(edges, nothing):
     assert len(rows) == edges.count()
     check_shards(rows, None, 5)
     assert sharding.kd_shards(nothing).count() == 0
+
+
+def test_shards_of_target_bytes(spark, sf_dir, nothing):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sharding.kd_shards(docs, target_bytes=4000).collect()
+    total, most = sum(r.size for r in rows), max(r.size for r in rows)
+    shards = -(-total // 4000)
+    sizes = check_shards(rows, None, shards)
+    assert shards > 24 and max(sizes) <= 4000 + 4 * most
+    assert sharding.kd_shards(nothing, target_bytes=4000).count() == 0

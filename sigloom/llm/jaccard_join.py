@@ -229,8 +229,9 @@ def jaccard_components(
 
     ``component_id`` is the smallest id that links lead to, the row's own included. Rows with
     equal sets link; a row whose text is null, empty or all white space has no shingles, links
-    with nothing and is its own component. Null ids sort before others and repeated rows link
-    with each other. An empty table gives no rows; other columns are not read.
+    with nothing and is its own component. Rows with null ids link like others, and give a component
+    no id where it has another; one of null ids alone has a null id. Rows that repeat an id are
+    rows of their own. An empty table gives no rows; other columns are not read.
 
     Sets are identified by 64-bit hashes of 64-bit shingle hashes. Signatures meet in buckets whose
     number follows their measured bytes; a task reads its buckets in order and holds one of about
@@ -240,13 +241,18 @@ def jaccard_components(
     in a large group of near copies, so cost a group's size and not its square, and no task holds
     more than two blocks.
     """
+    found = _placed(docs, id_col, text_col, words, threshold or Threshold(), bucket_bytes, group_bytes, most_common)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshold, bucket_bytes: int = 1 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17) -> DataFrame:
+    """``id, t, n, component_id``, see :func:`jaccard_components`; ``t`` is the text's hash, as ids can be null or repeated."""
     spark = ship(docs.sparkSession)
-    t = threshold or Threshold()
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("t"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n", "v", "h", "k"]
+        names = ["id", "t", "n", "v", "h", "k"]
         for batch in by_bytes(batches, 1, 8 << 20):
             n, v, found = [], [], []
             for own in shingle_sets(batch.column(1).to_pylist(), words):
@@ -254,14 +260,14 @@ def jaccard_components(
                 v.append(vertex(own) if len(own) else None)
                 found.append(own)
             none = pa.nulls(len(n), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(v, pa.int64()), none, none], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(v, pa.int64()), none, none], names)
             h, k = np.unique(np.concatenate(found), return_counts=True)
             h, k = h[k > 2], k[k > 2]
             none = pa.nulls(len(h), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), batch.column(0).type), none, none, pa.array(h.view(np.int64)), pa.array(k.astype(np.int64))], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), batch.column(0).type), none, none, none, pa.array(h.view(np.int64)), pa.array(k.astype(np.int64))], names)
 
-    measured = settled(rows.mapInArrow(measure, f"id {kind}, n long, v long, h long, k long"), "sets")
-    sets = measured.where("h is null").select("id", "n", "v")
+    measured = settled(rows.mapInArrow(measure, f"id {kind}, t long, n long, v long, h long, k long"), "sets")
+    sets = measured.where("h is null").select("id", "t", "n", "v")
     # A signature has 8 bytes, and a set about half as many signatures as shingles.
     buckets = max(1, -(-4 * (sets.agg(F.sum("n")).first()[0] or 0) // bucket_bytes))
 
@@ -326,20 +332,23 @@ def jaccard_components(
     candidates = components(dealt.mapInArrow(meet, "a long, b long"))
 
     # One document stands for each candidate vertex; its text goes to its component's group.
-    one = sets.where("v is not null").groupBy("v").agg(F.min("id").alias("id"), F.min("n").alias("n"))
-    chosen = one.join(candidates, "v").select("id", "v", "n", "c")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "t"))
+    one = sets.where("v is not null").groupBy("v").agg(first.alias("first"), F.min("n").alias("n")).select("v", "n", "first.id", "first.t")
+    chosen = one.join(candidates, "v").select("id", "t", "v", "n", "c")
     sized = settled(chosen.groupBy("c").agg(F.sum("n").alias("total"), F.min("v").alias("leader")), "sized")
     limit = max(1, group_bytes // _SHINGLE_BYTES)
     groups = max(1, -(-(sized.agg(F.sum("total")).first()[0] or 0) // limit))
     sized = sized.withColumn("blocks", F.ceil(F.col("total") / limit).cast("int"))
     block = F.pmod(F.xxhash64("v"), F.col("blocks").cast("long")).cast("int")
-    plan = settled(chosen.join(sized, "c").withColumn("block", block).join(rows, "id").drop("id", "total"), "plan")
+    plan = chosen.join(sized, "c").withColumn("block", block).withColumnsRenamed({"id": "its_id", "t": "its_t"})
+    plan = plan.join(rows, F.col("its_id").eqNullSafe(F.col("id")) & (F.col("its_t") == F.col("t")))
+    plan = settled(plan.select("c", "v", "n", "leader", "blocks", "block", "text"), "plan")
     small = plan.where("blocks = 1").select(F.pmod(F.xxhash64("c"), F.lit(groups)).alias("g"), F.lit(-1).alias("part"), "c", "v", F.lit(0).alias("side"), "text")
 
     def verify(table: pa.Table) -> pa.Table:
         by: dict[int, dict[tuple, tuple]] = defaultdict(dict)
         for c, v, side, own in zip(*(table.column(x).to_pylist() for x in ("c", "v", "side")), shingle_sets(table.column("text").to_pylist(), words)):
-            if (v, side) not in by[c] and len(own) and vertex(own) == v:  # not so where an id is repeated
+            if (v, side) not in by[c] and len(own) and vertex(own) == v:
                 by[c][v, side] = own
         links: list[tuple[int, int]] = []
         for group in by.values():
@@ -376,14 +385,15 @@ def jaccard_components(
     least = settled(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "least")  # a plain join side, whose hot keys can be split
     place = rooted.join(least, "root").select("v", "component_id")
     out = sets.join(place, "v", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("v").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("id", "t", "n", F.when(F.col("v").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: Threshold | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that have the smallest id of their component.
 
     See :func:`jaccard_components`; texts without shingles all stay, and so do rows with null ids.
+    Rows go by id and text: one that repeats the id of a near copy stays.
     """
-    found = jaccard_components(docs, id_col, text_col, words, threshold or Threshold(80, 100))
-    gone = settled(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _placed(docs, id_col, text_col, words, threshold or Threshold(80, 100))
+    gone = settled(found.where("id <> component_id").select("id", "t").distinct(), "gone")
+    return docs.join(gone, (docs[id_col] == gone["id"]) & (F.xxhash64(docs[text_col]) == gone["t"]), "left_anti")

@@ -347,10 +347,26 @@ def test_jaccard_edges(edges, nothing):
     by = {r.doc_id: r.component_id for r in got}
     assert by[5] == by[6] == by[4] == 4 and by[1] == 1 and by[2] == 2 and by[3] == 3
     assert jaccard_join.jaccard_components(nothing).count() == 0
+    assert [r.component_id for r in got if r.doc_id is None and r.n_shingles] == [7]
     kept = jaccard_join.near_dedup(edges)
     assert kept.columns == edges.columns and not {5, 6} & {r.doc_id for r in kept.collect()}
 
 
+def test_jaccard_links_of_null_and_repeated_ids(spark):
+    """A row without an id bridges two others; an id with two texts is two rows."""
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(words[k:]) for k in range(3)]
+    far = " ".join(f"z{k}" for k in range(40))
+    rows = [(5, texts[0]), (None, texts[1]), (9, texts[2]), (9, far), (None, far + " end"), (None, "alone"), (None, "alone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    links = brute.jaccard_components([(k, t) for k, (_, t) in enumerate(rows)], 4, 95)
+    assert links[2][1] == 0 and links[4][1] == 3 and brute.jaccard_components([(0, texts[0]), (1, texts[2])], 4, 95)[1][1] == 1
+    got = jaccard_join.jaccard_components(df, threshold=jaccard_join.Threshold(95, 100)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter([(5, 5), (None, 5), (9, 5), (9, 9), (None, 9), (None, None), (None, None)])
+    kept = jaccard_join.near_dedup(df, words=4, threshold=jaccard_join.Threshold(95, 100)).collect()
+    assert Counter(map(tuple, kept)) == Counter(r for r in rows if r != (9, texts[2]))
+
+
 # --- pipeline
 
 

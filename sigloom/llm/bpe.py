@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import sys
 from array import array
 
@@ -93,3 +94,93 @@ class Encoder:
 def encoder(path: str = DEFAULT) -> Encoder:
     """One encoder for each vocabulary file and worker process."""
     return Encoder(path)
+
+
+class _Words(dict):
+    """Ids by word, as bytes. A word that is not there is looked up among older ones or encoded, and kept."""
+
+    LONGEST = 64
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+    def __init__(self, tok, most_bytes: int):
+        super().__init__({"": b""})
+        self.tok, self.model = tok, tok.model
+        self.letters = {b: c for c, b in _byte_letters().items()}
+        self.most, self.room, self.older = most_bytes, most_bytes, {}
+
+    def __missing__(self, word: str) -> bytes:
+        raw = self.older.get(word)
+        if raw is None:
+            m = self.PLAIN.fullmatch(word) if len(word) <= self.LONGEST else None
+            raw = b"".join([self._piece(p) for p in m.groups() if p]) if m else array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= self.LONGEST:
+            self[word] = raw
+            self.room -= 200 + len(raw) + 2 * len(word)
+        return raw
+
+    def _piece(self, piece: str) -> bytes:
+        written = piece.lower().encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+
+    def renew(self) -> None:
+        """Makes this generation the older one if it is full, so that words in use stay."""
+        if self.room < 0:
+            self.older, self.room = dict(self), self.most
+            self.clear()
+            self[""] = b""
+
+
+class WordEncoder:
+    """Ids of texts by ``tokenizers``, with the ids of words remembered where white space divides words.
+
+    A vocabulary divides so if white space of any length becomes one blank, belongs to no token, and
+    no other step looks across it; then a text's ids are its words' ids. A new word of plain
+    letters, with or without closing marks, goes to the library's model at once, as its other steps
+    only lower the case and write bytes as letters; any other goes through all steps. All other
+    vocabularies encode whole texts. Words live in two generations of ``most_bytes`` each; long
+    words are not kept.
+    """
+
+    def __init__(self, path: str, most_bytes: int = 160 << 20):
+        self.plain, self.words = Encoder(path), None
+        if path.endswith(".model"):
+            self.most_id = self.plain._piece.get_piece_size() - 1
+            return
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.most_id = max([*spec["model"]["vocab"].values(), *[t["id"] for t in spec.get("added_tokens", [])]])
+        if self.plain._tok is not None and _divides(spec):
+            self.words = _Words(self.plain._tok, most_bytes)
+
+    def id_bytes(self, text: str) -> bytes:
+        """The ids as unsigned 32-bit numbers of the machine's order."""
+        if self.words is None:
+            return array("I", self.plain.ids(text)).tobytes()
+        raw = b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        self.words.renew()
+        return raw
+
+
+def _divides(spec: dict) -> bool:
+    normal = (spec.get("normalizer") or {}).get("normalizers", [])
+    steps = [(x["type"], x.get("pattern"), x.get("content")) for x in normal]
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = pre[0] if pre else {}
+    pattern = split.get("pattern", {}).get("Regex", "")
+    return (
+        ("Replace", {"Regex": r"\s+"}, " ") in steps
+        and {x[0] for x in steps} <= {"NFC", "Replace", "Lowercase"}
+        and sum(x[0] == "Replace" for x in steps) == 1
+        and split.get("type") == "Split"
+        and split.get("behavior") == "Removed"
+        and bool(split.get("invert"))
+        and [p for p in pattern.split("|") if " " in p or r"\s" in p.replace(r"[^\s", "") or "." in p or "(" in p] == []
+        and all(x["type"] == "ByteLevel" and not x.get("use_regex") and not x.get("add_prefix_space") for x in pre[1:])
+        and not any(c.isspace() for t in spec.get("added_tokens", []) for c in t["content"])
+    )
+
+
+@functools.cache
+def word_encoder(path: str) -> WordEncoder:
+    """One for each vocabulary file and worker process."""
+    return WordEncoder(path)

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
+
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .chat_format import MEDIA, SUFFIXES, WORD, format_conversations, linked_parts, read_loss, read_turns
 from .decontam import find_leaks
 from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
 from .language_id import fit_languages, predict_languages
 from .packing import pack_documents
+from .periodic_runs import find_periodic_runs
 from .secret_scan import ALLOWED, BASE, CANDIDATE, CLASSES, KINDS, WINDOW, secret_spans
 from .sharding import kd_shards
+from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
+from .token_files import read_token_files, write_token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,7 +97,61 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op3_suffix_dedup, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts)}
+def misspelt(doc_id: int | None, words: list[str]) -> list[str]:
+    """Runs of a document, a letter deleted where 199 divides the checksum of id and run; none without an id."""
+    if doc_id is None:
+        return words
+    start, out = zlib.crc32(b"%d:" % doc_id), []
+    for w in words:
+        h = zlib.crc32(w.encode(), start)
+        if h % 199 == 0:
+            k = h % len(w)
+            w = w[:k] + w[k + 1 :]
+        out.append(w)
+    return out
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), least_chars=6, least_n=5, times=5, edit=misspelt)
+
+
+def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of a document, of which every tenth repeats a stretch to its end; unchanged without an id."""
+    h = zlib.crc32(b"%d" % doc_id) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_periodic_runs(_table(spark, sf_dir, "documents"), least=24, times=3, edit=repeating)
+    # The greatest length / period first, compared as whole numbers.
+    greater = F.expr(
+        "get(array_sort(runs, (x, y) -> CASE WHEN x.length * y.period <> y.length * x.period THEN IF(x.length * y.period > y.length * x.period, -1, 1) "
+        "WHEN x.start <> y.start THEN IF(x.start < y.start, -1, 1) WHEN x.period <> y.period THEN IF(x.period < y.period, -1, 1) ELSE 0 END), 0)"
+    )
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))), "")
+    return out.withColumn("best", greater).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = _table(spark, sf_dir, "documents"), f"{scratch_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_token_files(spark, folder, docs.schema["doc_id"].dataType.simpleString()).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op3_suffix_dedup, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts, op11_spelling_variants, op12_periodic_runs, op13_token_files)}
+
 
 def _found_sql(name: str, kind: int, pattern: str, group: int, least: int) -> str:
     """``name(doc_id, s, kind, e, whole)``: matches with positions, for DuckDB."""

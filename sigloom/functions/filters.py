@@ -7,10 +7,16 @@ import functools
 import numpy as np
 
 
-def butterworth(order: int, cutoff: float, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Low-pass coefficients (b, a) by the bilinear transform, with the cutoff prewarped."""
+def analog_poles(order: int, cutoff: float, rate: float) -> np.ndarray:
+    """The low-pass poles with the cutoff prewarped; ``(4 + p) / (4 - p)`` are those of the digital filter."""
     warped = 4.0 * np.tan(np.pi * cutoff / rate)
-    poles = warped * np.exp(1j * np.pi * (2 * np.arange(order) + order + 1) / (2 * order))
+    return warped * np.exp(1j * np.pi * (2 * np.arange(order) + order + 1) / (2 * order))
+
+
+def butterworth(order: int, cutoff: float, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Low-pass coefficients (b, a) by the bilinear transform."""
+    poles = analog_poles(order, cutoff, rate)
+    warped = abs(poles[0])
     zeros_gain = np.real(warped**order / np.prod(4.0 - poles))
     a = np.real(np.poly((4.0 + poles) / (4.0 - poles)))
     return zeros_gain * np.poly(-np.ones(order)), a

@@ -34,6 +34,11 @@ FILES_SQL = f"""SELECT *, concat_ws('/', stage, channel, folder, concat(stem, '.
 SERIES_SQL = """SELECT *, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS holed,
     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS row_idx FROM events"""
 
+#: The same rows as few long clips.
+LONG_CLIP = ["clip"]
+LONG_SQL = """SELECT event_id, ts, event_type, value, user_id % 15 AS clip, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS holed, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS kind,
+    row_number() OVER (PARTITION BY user_id % 15 ORDER BY ts, event_id) - 1 AS row_idx FROM events"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -55,6 +60,11 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("holed", F.when(F.col("event_id") % 7 != 0, F.col("value")))
 
 
+def long_series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events of many users as one clip each, with two holed columns."""
+    return series(spark, sf_dir).select("event_id", "ts", "event_type", "value", (F.col("user_id") % 15).alias("clip"), "holed", F.when(F.col("event_id") % 5 != 0, F.col("event_type")).alias("kind"))
+
+
 def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_position(series(spark, sf_dir), CLIP, ORDER)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,25 +16,7 @@ from ..streaming.incremental import run_new_files
 from .filter_sql import low_pass_sql, savgol_sql
 from .fixtures import CLIP, FILES_SQL, LINE_CHANNELS, LINE_CLIP, LINE_ORDER, ORDER, SERIES_SQL, STEM, files, lines, numbered, stems, table
 from .fixtures import series as events_series
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def register(sql: str = "") -> Callable[[Query], Query]:
-    def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE_SQL[fn.__name__] = sql
-        return fn
-
-    return add
-
-
-def rounded(column: str, name: str | None = None):
-    return (F.round(column, 6) + F.lit(0.0)).alias(name or column)
-
+from .registry import ORACLE_SQL, QUERIES, register, rounded
 
 # --- names and codes ---------------------------------------------------------------------------
 
@@ -595,3 +576,7 @@ def in1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows.where(load).repartition("user_id").write.mode("append").parquet(folder)
         run_new_files(spark, folder, "user_id long, row_idx long, value double", state, target, step)
     return spark.read.parquet(target).select("user_id", "row_idx", rounded("value"))
+
+
+# More queries, in modules of their own, enter the same table.
+from . import long_queries, store_queries  # noqa: E402, F401

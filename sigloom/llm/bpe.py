@@ -1,18 +1,23 @@
 """Byte-level BPE ids inside tasks: the vocabulary file's own merges, encoded in batches.
 
 ``tokenizers`` defines the ids. A byte-level BPE .json is loaded into ``tiktoken``, which gives the
-same ids about three times as fast (tests compare them); any other .json stays with ``tokenizers``.
+same ids about three times as fast (tests compare them); any other .json stays with ``tokenizers``,
+and so does a text with a run of very much white space, on which the other one's pattern overflows.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import sys
 from array import array
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DEFAULT = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,10 +28,21 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+#: Characters of white space in a row that are left to ``tokenizers``; well below what overflows.
+_BLANKS = 50_000
+_WHITE = re.compile(r"\s{2,}")
+
+
+def blank(text: str) -> bool:
+    """Whether a text holds a run of very much white space. Linear in the text."""
+    return len(text) > _BLANKS and any(m.end() - m.start() > _BLANKS for m in _WHITE.finditer(text))
+
+
 class Encoder:
     """ids(), counts() and id_bytes() of one vocabulary file; special strings in a text count as such."""
 
     def __init__(self, path: str):
+        self._path = path
         if path.endswith(".model"):
             import sentencepiece
 
@@ -57,17 +73,22 @@ class Encoder:
             ranks = {bytes(back[c] for c in w): i for w, i in model["vocab"].items() if w not in ids}
             self._tik = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ids)
         else:
+            self._library()
+
+    def _library(self):
+        if self._tok is None:
             from tokenizers import Tokenizer
 
-            self._tok = Tokenizer.from_file(path)
+            self._tok = Tokenizer.from_file(self._path)
             self._tok.no_truncation()
             self._tok.no_padding()
+        return self._tok
 
     def ids(self, text: str) -> list[int]:
         if self._piece:
             return self._piece.encode(text)
-        if self._tok:
-            return self._tok.encode(text, add_special_tokens=False).ids
+        if not self._tik or blank(text):
+            return self._library().encode(text, add_special_tokens=False).ids
         if any(s in text for s in self.special):
             return self._tik.encode(text, allowed_special="all")
         return self._tik.encode_ordinary(text)
@@ -75,12 +96,12 @@ class Encoder:
     def counts(self, texts: list[str]) -> list[int]:
         if self._piece:
             return [len(x) for x in self._piece.encode(texts, num_threads=1)]
-        if self._tok:
-            return [len(x) for x in self._tok.encode_batch(texts, add_special_tokens=False)]
-        marked = [any(x in t for x in self.special) for t in texts]
-        plain = iter(self._tik.encode_ordinary_batch([t for t, m in zip(texts, marked) if not m], num_threads=1))
+        if not self._tik:
+            return [len(x) for x in self._library().encode_batch(texts, add_special_tokens=False)]
+        marked = [None if blank(t) else any(x in t for x in self.special) for t in texts]
+        plain = iter(self._tik.encode_ordinary_batch([t for t, m in zip(texts, marked) if m is False], num_threads=1))
         special = iter(self._tik.encode_batch([t for t, m in zip(texts, marked) if m], num_threads=1, allowed_special="all"))
-        return [len(next(special if m else plain)) for m in marked]
+        return [len(self.ids(t)) if m is None else len(next(special if m else plain)) for t, m in zip(texts, marked)]
 
     def id_bytes(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
@@ -115,19 +136,22 @@ class _Words(dict):
             raw = b"".join([self._piece(p) for p in m.groups() if p]) if m else array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
         if len(word) <= self.LONGEST:
             self[word] = raw
-            self.room -= 200 + len(raw) + 2 * len(word)
+            self.room -= 250 + len(raw) + 2 * len(word)
         return raw
 
     def _piece(self, piece: str) -> bytes:
-        written = piece.lower().encode().decode("latin-1").translate(self.letters)
+        written = piece.lower()
+        if not written.isascii():
+            written = written.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
 
-    def renew(self) -> None:
-        """Makes this generation the older one if it is full, so that words in use stay."""
-        if self.room < 0:
-            self.older, self.room = dict(self), self.most
-            self.clear()
-            self[""] = b""
+    def renewed(self) -> _Words:
+        """A new generation if this one is full, with this as the older one, so that words in use stay."""
+        if self.room >= 0:
+            return self
+        young = _Words(self.tok, self.most)
+        young.older, self.older = self, {}
+        return young
 
 
 class WordEncoder:
@@ -141,7 +165,7 @@ class WordEncoder:
     words are not kept.
     """
 
-    def __init__(self, path: str, most_bytes: int = 160 << 20):
+    def __init__(self, path: str, most_bytes: int = 110 << 20):
         self.plain, self.words = Encoder(path), None
         if path.endswith(".model"):
             self.most_id = self.plain._piece.get_piece_size() - 1
@@ -152,13 +176,28 @@ class WordEncoder:
         if self.plain._tok is not None and _divides(spec):
             self.words = _Words(self.plain._tok, most_bytes)
 
-    def id_bytes(self, text: str) -> bytes:
-        """The ids as unsigned 32-bit numbers of the machine's order."""
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's end.
+
+        Arrow divides the texts into words and numbers the different ones; each of these is looked
+        up once, and the texts' ids are gathered from theirs.
+        """
         if self.words is None:
-            return array("I", self.plain.ids(text)).tobytes()
-        raw = b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
-        self.words.renew()
-        return raw
+            every = [self.plain.ids(t) for t in texts.to_pylist()]
+            return np.fromiter(itertools.chain(*every), np.uint32), np.cumsum([len(x) for x in every], dtype=np.int64)
+        for c in "\n\t":
+            texts = pc.replace_substring(texts, c, " ")
+        divided = pc.split_pattern(texts, " ")
+        coded = divided.flatten().dictionary_encode()
+        raws = list(map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        self.words = self.words.renewed()
+        flat, sizes = np.frombuffer(b"".join(raws), np.uint32), np.fromiter(map(len, raws), np.int64, len(raws)) // 4
+        starts, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        own = sizes[at]
+        ends = np.cumsum(own)
+        ids = flat[np.repeat(starts[at] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)]
+        lists = divided.offsets.to_numpy()[1:] - divided.offsets[0].as_py()
+        return ids, np.append(0, ends)[lists]
 
 
 def _divides(spec: dict) -> bool:

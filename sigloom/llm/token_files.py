@@ -61,6 +61,14 @@ def unpack(raw: bytes, n: int, width: int) -> np.ndarray:
     return out.reshape(-1)[:n]
 
 
+def ended(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """``ids`` with ``end_id`` after each document, and where documents end then."""
+    sizes = np.diff(ends, prepend=0)
+    out = np.full(len(ids) + len(ends), end_id, np.uint32)
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(ends)), sizes)] = ids
+    return out, ends + np.arange(1, len(ends) + 1)
+
+
 class IdWriter:
     """Writes one file: ids come in any portions, blocks go out as they fill."""
 
@@ -70,12 +78,13 @@ class IdWriter:
         self.waiting = self.n_ids = self.at = 0
         self.offsets, self.ids, self.ends = array("Q", [0]), [], array("q")
 
-    def add(self, doc, ids: np.ndarray) -> None:
+    def add(self, docs: list, ids: np.ndarray, ends: np.ndarray) -> None:
+        """Documents with their ids, one after the other, and where each one's end in ``ids``."""
         self.held.append(ids)
         self.waiting += len(ids)
+        self.ids += docs
+        self.ends.extend((ends + self.n_ids).tolist())
         self.n_ids += len(ids)
-        self.ids.append(doc)
-        self.ends.append(self.n_ids)
         if self.waiting >= self.block:
             every = np.concatenate(self.held)
             cut = len(every) - len(every) % self.block
@@ -161,6 +170,7 @@ def write_token_files(
     end_id: int = 2,
     block_ids: int = 1 << 15,
     shard_bytes: int = 128 << 20,
+    slice_bytes: int = 8 << 20,
 ) -> None:
     """Writes all documents' ids in ascending order of ``id_col`` to files under ``folder``, with their manifest.
 
@@ -182,15 +192,15 @@ def write_token_files(
     fs.create_dir(f"{place}/ids", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, writer = bpe.word_encoder(path), array("I", [end_id]).tobytes(), None
+        enc, writer = bpe.word_encoder(path), None
         name = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
-        for batch in by_bytes(batches, 1):
+        for batch in by_bytes(batches, 1, slice_bytes):
             if writer is None:
                 store, where = pafs.FileSystem.from_uri(uri)
                 sink = store.open_output_stream(f"{where}/ids/{name}")
                 writer, kind = IdWriter(sink, width, block_ids), batch.column(0).type
-            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                writer.add(doc, np.frombuffer(enc.id_bytes(t) + end, np.uint32))
+            ids, ends = enc.ids(batch.column(1))
+            writer.add(batch.column(0).to_pylist(), *ended(ids, ends, end_id))
         if writer:
             writer.close(kind)
             sink.close()

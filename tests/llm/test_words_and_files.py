@@ -12,6 +12,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -226,17 +227,26 @@ def test_word_ids_are_the_librarys(text):
     enc = bpe.word_encoder(WORD_BPE)
     assert enc.words is not None
     want = enc.plain._tok.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(enc.id_bytes(text), np.uint32).tolist() == want
+    for before in ([], ["", "a  b"]):
+        ids, ends = enc.ids(pa.array([*before, text, "", "c"])[len(before) :] if before else pa.array([text, "", "c"]))
+        assert ids[: ends[0]].tolist() == want and ends[0] == ends[1] == len(want) and len(ids) == ends[2] == len(want) + 1
 
 
 def test_word_memory_is_bounded():
     enc, tok = bpe.WordEncoder(WORD_BPE, most_bytes=3000), Tokenizer.from_file(WORD_BPE)
     for k in range(60):
         text = " ".join(f"word{chr(97 + k % 26)}{chr(97 + j)} the" for j in range(8)) + " " + "x" * 500
-        assert np.frombuffer(enc.id_bytes(text), np.uint32).tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert enc.ids(pa.array([text]))[0].tolist() == tok.encode(text, add_special_tokens=False).ids
         assert len(enc.words) < 40 and "x" * 500 not in enc.words
     other = bpe.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     assert other.words is None and other.most_id == 50256
+    ids, ends = other.ids(pa.array(["two words", "", "three"]))
+    assert ids.tolist() == other.plain.ids("two words") + other.plain.ids("three") and ends.tolist() == [2, 2, 3]
+
+
+def test_ended():
+    out, ends = token_files.ended(np.array([5, 6, 7], np.uint32), np.array([2, 2, 3]), 9)
+    assert out.tolist() == [5, 6, 9, 9, 7, 9] and ends.tolist() == [3, 4, 6]
 
 
 def plain_files(rows, end_id=2):

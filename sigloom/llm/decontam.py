@@ -25,6 +25,8 @@ Q = 8  # bytes, so that a q-gram is one unsigned 64-bit number
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\r\v\f" else b for b in range(256))
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 21
+#: Postings from which a q-gram is common: a rule or a heading that very many items hold.
+COMMON = 256
 
 
 def folded(text: str | None) -> bytes:
@@ -44,6 +46,26 @@ def qgrams(raw: bytes) -> np.ndarray:
     return out
 
 
+def without_common(grams: np.ndarray, item: np.ndarray, bound: np.ndarray, common: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which postings (in the order of their grams) stay, and how many each item loses.
+
+    An item that is there shares ``bound`` of its q-grams' places, so of all but ``k`` of them it
+    shares ``bound - k`` at least. Each item gives up places of q-grams with ``common`` or more
+    postings, the most common first, for at most half of its bound; what it cannot give up is counted on.
+    """
+    heat = np.unique(grams, return_counts=True)[1]
+    heat = np.repeat(heat, heat)
+    hot = np.flatnonzero(heat >= common)
+    by = hot[np.lexsort((-heat[hot], item[hot]))]
+    own = item[by]
+    begin = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
+    rank = np.arange(len(own)) - np.repeat(begin, np.diff(np.append(begin, len(own))))
+    gone = by[rank < bound[own] // 2]
+    stays = np.ones(len(grams), bool)
+    stays[gone] = False
+    return stays, np.bincount(item[gone], minlength=len(bound))
+
+
 @dataclass
 class Index:
     """The items of one block with the postings of their q-grams."""
@@ -60,7 +82,7 @@ class Index:
     table: np.ndarray
 
     @classmethod
-    def build(cls, rows: list[tuple[object, str]], rate: float) -> Index:
+    def build(cls, rows: list[tuple[object, str]], rate: float, common: int = COMMON) -> Index:
         rows = [(i, raw) for i, t in rows if len(raw := folded(t).strip()) >= Q]
         items = [raw for _, raw in rows]
         sizes = np.array([len(x) for x in items], np.int64)
@@ -70,7 +92,10 @@ class Index:
         item = np.repeat(np.arange(len(items)), np.maximum(sizes - Q + 1, 0))
         at = np.concatenate([np.arange(max(0, n - Q + 1)) for n in sizes] or [np.zeros(0, np.int64)])
         order = np.argsort(grams, kind="stable")
-        unique, first = np.unique(grams[order], return_index=True)
+        kept, dropped = without_common(grams[order], item[order], bound, common)
+        order, bound = order[kept], bound - dropped
+        grams = grams[order]
+        unique, first = np.unique(grams, return_index=True)
         table = np.zeros(1 << _TABLE_BITS, bool)
         table[(unique * _SPREAD) >> np.uint64(64 - _TABLE_BITS)] = True
         return cls([i for i, _ in rows], items, budget, bound, np.maximum(budget, 16), unique, np.append(first, len(grams)), item[order], at[order], table)
@@ -124,7 +149,7 @@ def regions(raw: bytes, index: Index, window: int = 1 << 16, most_postings: int
         lo, hi = np.searchsorted(hit, [k * window, (k + 1) * window + reach]).tolist()
         if lo == hi:
             continue
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
         n = index.first[found[lo:hi] + 1] - index.first[found[lo:hi]]
         part = np.cumsum(n) // most_postings
         cuts = [lo, *(lo + 1 + np.flatnonzero(np.diff(part))).tolist(), hi]
@@ -134,8 +159,11 @@ def regions(raw: bytes, index: Index, window: int = 1 << 16, most_postings: int
             item = index.item[post]
             band = (np.repeat(hit[a:b], n) - index.at[post] + longest) // index.width[item]
             own, times = np.unique(item * bands + band, return_counts=True)
-            keys, place = np.unique(np.concatenate([keys, own]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([counts, times]), len(keys)).astype(np.int64)
+            seen.append((own, times))
+            # Counts are merged when as many new ones wait as are merged: each few times over, not with every portion.
+            if sum(len(x) for x, _ in seen[1:]) > max(len(seen[0][0]), most_postings):
+                seen = [_merged(seen)]
+        keys, counts = _merged(seen)
         both = counts.copy()
         both[:-1] += np.where(keys[1:] == keys[:-1] + 1, counts[1:], 0)
         good = keys[both >= index.bound[keys // bands]]
@@ -146,6 +174,13 @@ def regions(raw: bytes, index: Index, window: int = 1 << 16, most_postings: int
                 yield i, a * w - longest, (b + 2) * w - longest - 1
 
 
+def _merged(seen: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if len(seen) == 1:
+        return seen[0]
+    keys, place = np.unique(np.concatenate([k for k, _ in seen]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([c for _, c in seen]), len(keys)).astype(np.int64)
+
+
 def _by_item(keys: np.ndarray, bands: int) -> Iterator[tuple[int, tuple[int, int]]]:
     """A chain of keys as item with first and last band."""
     for own in np.split(keys, np.flatnonzero(np.diff(keys // bands)) + 1):

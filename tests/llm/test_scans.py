@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 from collections import Counter
 
@@ -208,6 +209,43 @@ def test_leaks_in_long_repetitive_texts(spark):
     tracemalloc.stop()
 
 
+@pytest.mark.parametrize("common", [1, 2, 5, 256])
+def test_common_grams_lose_no_leak(common):
+    rng = random.Random(common)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randrange(2, 9)))
+    rule = "-" * 20
+    items = [(i, f"{' '.join(word() for _ in range(rng.randrange(4, 12)))} {rule if i % 3 else 'same words here'} {word()}") for i in range(40)] + [(90, "-" * 60), (91, rule + "x" + rule)]
+    index = decontam.Index.build(items, 0.08, common)
+    texts = ["-" * 300, rule, f"{word()} {rule} {word()}"]
+    for _ in range(80):
+        raw = list(rng.choice(items)[1])
+        for _ in range(rng.randrange(0, 7)):
+            p = rng.randrange(len(raw))
+            raw[p : p + rng.randrange(2)] = rng.choice(["", "z", "-"])
+        texts.append(f"{word()} {''.join(raw)} {word()}")
+    got = {(r, i): e for r, i, e, *_ in decontam.matches([decontam.folded(t) for t in texts], index)}
+    want = {}
+    for r, t in enumerate(texts):
+        for i, item in enumerate(index.items):
+            if (e := semi_global(item, decontam.folded(t))) <= index.budget[i]:
+                want[r, i] = e
+    assert got == want and len(want) > 40
+    assert (index.bound >= 1).all() and (len(index.item) < sum(len(x) - 7 for x in index.items)) == (common < 256)
+
+
+def test_a_rule_in_very_many_items():
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 10)))
+    items = [(i, f"{' '.join(word() for _ in range(15))} {'-' * 20} {' '.join(word() for _ in range(15))}") for i in range(10_000)]
+    text = "-" * 500_000 + items[7][1] + "-" * 500_000
+    tracemalloc.start()
+    start = time.process_time()
+    index = decontam.Index.build(items, 0.08)
+    assert [(i, e) for _, i, e, *_ in decontam.matches([text.encode()], index)] == [(7, 0)]
+    assert time.process_time() - start < 20 and tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
 def test_leak_edges(edges, nothing, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(edges, none).count() == 0 and decontam.decontaminate(edges, none).count() == edges.count()

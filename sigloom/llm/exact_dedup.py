@@ -45,10 +45,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    # The row's other columns travel as one struct; the text is the grouping key itself.
-    rest = F.struct(F.col(text_col).isNotNull().alias("__set"), *[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+    # The row's other columns travel in a struct of their own, so that no name of theirs can clash; the text is the grouping key itself.
+    others = [c for c in docs.columns if c != text_col]
+    rest = F.struct(F.col(f"`{text_col}`").isNotNull().alias("set"), F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)]).alias("row"))
     rank = F.struct(F.col(id_col), F.xxhash64(*hashed).alias("tie"))
     local = docs.select(F.sha2(text, 256).alias("digest"), (F.spark_partition_id() % salts).alias("salt"), text.alias("text"), rest.alias("rest"), rank.alias("rank"))
     one = local.groupBy("digest", "salt", "text").agg(F.max_by("rest", "rank").alias("rest"), F.max("rank").alias("rank"))
     best = one.groupBy("digest", "text").agg(F.max_by("rest", "rank").alias("rest"))
-    return best.select(*[(F.when(F.col("rest.__set"), F.col("text")) if c == text_col else F.col("rest").getField(c)).alias(c) for c in docs.columns])
+    return best.select(*[(F.when(F.col("rest.set"), F.col("text")) if c == text_col else F.col(f"rest.row.c{others.index(c)}")).alias(c) for c in docs.columns])

@@ -29,7 +29,7 @@ EDGES = [
 def edges(spark):
     """Edge cases with extra columns whose names operators use inside."""
     df = spark.createDataFrame(EDGES, "doc_id long, text string, lang string, source string")
-    for c in ("id", "t", "h", "digest", "salt", "n", "v", "size", "shard", "raw", "spans", "item", "start"):
+    for c in ("id", "t", "h", "digest", "salt", "n", "v", "size", "shard", "raw", "spans", "item", "start", "__set", "__status", "__n", "row", "rest", "a.b"):
         df = df.selectExpr("*", f"1 as `{c}`")
     return df.cache()
 

@@ -117,6 +117,16 @@ def test_token_counts_edges(edges, nothing, library):
     assert token_counts.token_counts(nothing).count() == 0
 
 
+RUNS = [" " * 1_500_000, "\n" * 1_200_000 + "end", "a " + "\t" * 1_000_000 + " b <|endoftext|>", "z" * 300_000, "-" * 300_000, ("word  \n" * 20_000) + " " * 60_000 + "x"]
+
+
+def test_very_long_runs_of_one_sign(spark, library):
+    docs = spark.createDataFrame(list(enumerate(RUNS)), "doc_id long, text string")
+    want = {i: len(library_ids(library, t)) for i, t in enumerate(RUNS)}
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs).collect()} == want
+    check_pieces(packing.pack_documents(docs).collect(), dict(enumerate(RUNS)), library, 1024)
+
+
 def test_other_vocabularies(edges):
     import sentencepiece
 

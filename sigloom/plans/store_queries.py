@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..operators import release, series
-from ..sources import membership, tracking_source, versions
+from ..operators import bucketed, release, series
+from ..sources import membership, tracking_source, versions, walk
+from ..streaming.parts import run_clip_parts
+from .filter_sql import low_pass_sql, savgol_sql
 from .fixtures import CLIP, FILES_SQL, ORDER, SERIES_SQL, files, numbered
 from .fixtures import series as events_series
-from .queries import _clip_csv, _fill_report, _place
-from .registry import register
+from .queries import _clip_csv, _fill_report, _place, _smoothed
+from .registry import register, rounded
 
 _SERIES = f"series AS ({SERIES_SQL})"
 
@@ -92,3 +96,53 @@ def sk5_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for run, rows in (("one", once), ("two", once), ("one", once), ("two", once.unionAll(release.run_report(report, "refill")))):
         versions.append_run(rows, folder, run)
     return versions.read_runs(spark, folder, "stage string, status string, n_clips long").select("run", "stage", "status", "n_clips")
+
+
+_OWN = f"{_SERIES}, own AS (SELECT user_id AS clip, row_idx, value AS x FROM series)"
+
+
+@register(f"WITH {_OWN}, {savgol_sql('own', 'fit')} SELECT own.clip AS user_id, own.row_idx, round(own.x, 6) + 0.0 AS raw, round(fit.x, 6) + 0.0 AS smoothed FROM own JOIN fit ON own.clip = fit.clip AND own.row_idx = fit.row_idx")
+def jn2_bucketed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw and smoothed series stored in buckets by clip and joined where they lie."""
+    names = [f"{stage}_{uuid.uuid4().hex}" for stage in ("raw", "smoothed")]
+    raw = numbered(spark, sf_dir).select("user_id", "row_idx", "value")
+    for name, rows in zip(names, (raw, _smoothed(spark, sf_dir))):
+        bucketed.write_bucketed(rows, name, _place(spark, name), CLIP, ["row_idx"], 16)
+    out = bucketed.paired_buckets(spark, *names, CLIP, ["row_idx"], "value")
+    return out.select("user_id", "row_idx", rounded("raw"), rounded("smoothed"))
+
+
+_PARTS = 3
+
+
+def _parts_sql(late: str) -> str:
+    return f"""WITH RECURSIVE {_OWN.replace("FROM series)", f"FROM series WHERE NOT ({late}))")}, {low_pass_sql('own', 'low')}, {savgol_sql('low', 'fit')} SELECT clip AS user_id, row_idx, round(x, 6) + 0.0 AS value FROM fit"""
+
+
+@register(_parts_sql("user_id % 11 = 5"))
+def in1_clip_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips whose parts come over three loads, out of order and one twice, are cleaned once each; clips of which a part never comes stay out."""
+    rows = numbered(spark, sf_dir).select("user_id", "row_idx", "value", F.lit(_PARTS).alias("parts"), (F.col("row_idx") % _PARTS).cast("int").alias("part"))
+    rows = rows.where("not (user_id % 11 = 5 and part = 1)")
+    folder, target, state = (_place(spark, x) for x in ("parts", "whole", "state"))
+    loads = (F.col("part") + F.col("user_id")) % _PARTS
+    for load in range(_PARTS):
+        due = loads == load if load else (loads == load) | ((F.col("user_id") % 4 == 0) & (loads == 1))
+        rows.where(due).repartition(2).write.mode("append").parquet(folder)
+        run_clip_parts(spark, folder, "user_id long, row_idx long, value double, parts int, part int", state, target, lambda df: series.clean_signals(df, CLIP, ["row_idx"], ["value"]), "user_id", "part", "parts", ["row_idx", "value"])
+    return spark.read.parquet(f"{target}/rows").select("user_id", "row_idx", rounded("value"))
+
+
+# --- listings
+
+
+@register(f"""WITH grid AS (SELECT CAST(a AS INTEGER) AS actor, c AS channel FROM range(1, 25) t(a), (VALUES ('speech'), ('song')) v(c)),
+    clips AS (SELECT DISTINCT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, CAST(user_id % 24 + 1 AS INTEGER) AS actor, user_id AS stem FROM events)
+    SELECT g.channel, g.actor, c.stem, CASE WHEN c.stem IS NULL THEN 'missing' ELSE 'listed' END AS status FROM grid g LEFT JOIN clips c ON c.actor = g.actor AND c.channel = g.channel""")
+def sc1_walked_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files under every expected actor folder of a real tree, listed by tasks; folders that are not there are reported."""
+    root = walk.qualified(spark, _clip_csv(spark, numbered(spark, sf_dir).select("user_id", "row_idx", "value")))
+    grid = spark.range(1, 25).select(F.col("id").cast("int").alias("actor"), F.explode(F.array(F.lit("speech"), F.lit("song"))).alias("channel"))
+    found = walk.walk(spark, grid.select(F.concat(F.lit(f"{root}/channel="), "channel", F.lit("/actor="), "actor").alias("path")), "*.csv")
+    named = lambda key: F.regexp_extract("path", f"{key}=([^/]*)", 1)
+    return found.select(named("channel").alias("channel"), named("actor").cast("int").alias("actor"), named("stem").try_cast("long").alias("stem"), "status")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import released, settled, ship
-from .batches import by_bytes
+from .batches import by_bytes, filter_rows
 
 Q = 8  # bytes, so that a q-gram is one unsigned 64-bit number
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\r\v\f" else b for b in range(256))
@@ -283,7 +283,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                     clean[r] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = filter_rows(docs, keep)
         if n > 1:
             own, docs = before, settled(docs, "clean")
             released(own)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import released, settled, ship
-from .batches import by_bytes
+from .batches import by_bytes, filter_rows
 
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -130,7 +130,7 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, text_col: str = "text
         for batch in by_bytes(batches, place):
             yield batch.filter(pa.array([not judge(t)[2] for t in batch.column(place).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return filter_rows(docs, keep)
 
 
 def _judge(model: LanguageModel, margin: float, level: int, chunk_bytes: int) -> Callable[[str | None], tuple[str, float, bool]]:

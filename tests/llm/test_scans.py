@@ -209,7 +209,7 @@ def test_leaks_in_long_repetitive_texts(spark):
     tracemalloc.stop()
 
 
-@pytest.mark.parametrize("common", [1, 2, 5, 256])
+@pytest.mark.parametrize("common", [1, 2, 5, 256, 1 << 20])
 def test_common_grams_lose_no_leak(common):
     rng = random.Random(common)
     word = lambda: "".join(rng.choice("abcde") for _ in range(rng.randrange(2, 9)))
@@ -230,7 +230,7 @@ def test_common_grams_lose_no_leak(common):
             if (e := semi_global(item, decontam.folded(t))) <= index.budget[i]:
                 want[r, i] = e
     assert got == want and len(want) > 40
-    assert (index.bound >= 1).all() and (len(index.item) < sum(len(x) - 7 for x in index.items)) == (common < 256)
+    assert (index.bound >= 1).all() and (len(index.item) < sum(len(x) - 7 for x in index.items)) == (common < 1 << 20)
 
 
 def test_a_rule_in_very_many_items():
@@ -246,6 +246,27 @@ def test_a_rule_in_very_many_items():
     tracemalloc.stop()
 
 
+def test_dealing_does_not_grow_with_the_buckets():
+    rng = np.random.default_rng(0)
+    sigs, hubs = np.sort(rng.integers(0, 1 << 63, 300_000).astype(np.uint64) * np.uint64(2)), rng.integers(0, 5000, 300_000)
+    took = {}
+    for buckets in (1, 1000, 1_000_000):
+        start = time.process_time()
+        keys, packs, raws = jaccard_join.dealt_out(sigs, hubs, buckets)
+        took[buckets] = time.process_time() - start
+        back = []
+        for p, r in zip(packs.to_pylist(), raws.to_pylist()):
+            if p is not None:
+                back.append(np.stack([x.view(np.int64) for x in jaccard_join.unpacked(p)], 1))
+            else:
+                back.append(np.frombuffer(r, np.int64).reshape(-1, 2))
+        assert (np.concatenate(back) == np.stack([sigs.view(np.int64), hubs], 1)).all()
+        k = keys.to_numpy()
+        assert (np.diff(k) > 0).all() and k[0] >= 0 and k[-1] < buckets and len(k) == min(buckets, len(k))
+    assert took[1_000_000] < 2 * took[1000] + 0.05
+    assert len(jaccard_join.dealt_out(sigs[:0], hubs[:0], 7)[0]) == 0
+
+
 def test_leak_edges(edges, nothing, spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_leaks(edges, none).count() == 0 and decontam.decontaminate(edges, none).count() == edges.count()

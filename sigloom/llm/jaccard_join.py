@@ -27,7 +27,9 @@ from .shingles import mixed, shingle_sets
 _K1, _K2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _ALL = (1 << 64) - 1
 _SHINGLE_BYTES = 6  # about a word and its blank
-_BUCKETS_A_TASK = 16
+_MOST_TASKS = 1 << 15  # that buckets are dealt out to
+_GATHER = 1 << 21  # signatures of a task that are cut into buckets together
+_FEW = 64  # signatures a bucket on average below which they go out as they are
 
 
 class Threshold:
@@ -145,6 +147,22 @@ def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), names[index]
 
 
+def dealt_out(sigs: np.ndarray, hubs: np.ndarray, buckets: int) -> list[pa.Array]:
+    """``bucket, sigs, raw`` of sorted signatures: a row for each bucket that any falls in.
+
+    The work follows the signatures, whatever the number of buckets. Where a row would hold few of
+    them, rows are slices of one buffer of pairs, and none is packed by itself.
+    """
+    place = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.append(True, place[1:] != place[:-1])[: len(place)]), len(place))
+    keys, rows = pa.array(place[cuts[:-1]].astype(np.int32)), len(cuts) - 1
+    if len(sigs) >= _FEW * rows:
+        return [keys, pa.array([packed(sigs[a:b], hubs[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary()), pa.nulls(rows, pa.binary())]
+    pairs = np.stack([sigs.view(np.int64), hubs], 1)
+    raw = pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer((16 * cuts).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(pairs))])
+    return [keys, pa.nulls(rows, pa.binary()), raw]
+
+
 def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect the linked sets of ``sets`` exactly as all links would.
 
@@ -223,7 +241,7 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, bucket_bytes: int = 1 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, threshold: Threshold | None = None, bucket_bytes: int = 8 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17
 ) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``.
 
@@ -245,7 +263,7 @@ def jaccard_components(
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshold, bucket_bytes: int = 1 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17) -> DataFrame:
+def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshold, bucket_bytes: int = 8 << 20, group_bytes: int = 4 << 20, most_common: int = 1 << 17) -> DataFrame:
     """``id, t, n, component_id``, see :func:`jaccard_components`; ``t`` is the text's hash, as ids can be null or repeated."""
     spark = ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -277,28 +295,31 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshol
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()  # sets of this task: copies give the same signatures
+        found, owner, waiting = [], [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            sigs, hubs, links = star(np.concatenate(found), np.concatenate(owner))
+            columns = dealt_out(sigs, hubs, buckets)
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.binary())], names)
+            if len(links):
+                yield pa.RecordBatch.from_arrays([pa.array([int(links[0, 1] % buckets)], pa.int32()), *[pa.nulls(1, pa.binary())] * 2, pa.array([links.tobytes()], pa.binary())], names)
+
+        names = ["bucket", "sigs", "raw", "links"]
         for batch in by_bytes(batches, 0, 8 << 20):
-            found, owner = [], []
             for own in shingle_sets(batch.column(0).to_pylist(), words):
                 if len(own) and (v := vertex(own)) not in met:
                     met.add(v)
                     s = signatures(own, t, common)
                     found.append(s)
                     owner.append(np.full(len(s), v, np.int64))
+                    waiting += len(s)
             if len(met) > 1 << 20:
                 met.clear()
-            if not found:
-                continue
-            sigs, hubs, links = star(np.concatenate(found), np.concatenate(owner))
-            place = (sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-            cuts = np.searchsorted(place, np.arange(buckets + 1))
-            out = [(k, packed(sigs[a:b], hubs[a:b]), b"") for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
-            if len(links):
-                out.append((int(links[0, 1] % buckets), b"", links.tobytes()))
-            if not out:
-                continue
-            k, *blobs = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]], ["bucket", "sigs", "links"])
+            if waiting >= _GATHER:
+                yield from flushed()
+                found, owner, waiting = [], [], 0
+        if waiting:
+            yield from flushed()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Bucket after bucket; links that a task finds again in its next bucket are not written again."""
@@ -310,13 +331,16 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshol
 
         for batch in batches:
             for i in range(batch.num_rows):
-                bucket, sigs, own = (c[i].as_py() for c in batch.columns)
+                bucket, sigs, raw, own = (c[i].as_py() for c in batch.columns)
                 if bucket != now and held:
                     links = np.unique(np.concatenate([links, star(*map(np.concatenate, zip(*held)))[2]]), axis=0)
                     held = []
                 now = bucket
                 if sigs:
                     held.append(unpacked(sigs))
+                if raw:
+                    pairs = np.frombuffer(raw, np.int64).reshape(-1, 2)
+                    held.append((np.ascontiguousarray(pairs[:, 0]).view(np.uint64), pairs[:, 1]))
                 if own:
                     links = np.unique(np.concatenate([links, np.frombuffer(own, np.int64).reshape(-1, 2)]), axis=0)
                 if len(links) > 1 << 20:
@@ -327,8 +351,8 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshol
         if len(links):
             yield rows()
 
-    signed = rows.select("text").mapInArrow(sign, "bucket int, sigs binary, links binary")
-    dealt = signed.repartition(max(1, -(-buckets // _BUCKETS_A_TASK)), "bucket").sortWithinPartitions("bucket")
+    signed = rows.select("text").mapInArrow(sign, "bucket int, sigs binary, raw binary, links binary")
+    dealt = signed.repartitionById(min(buckets, _MOST_TASKS), "bucket").sortWithinPartitions("bucket")
     candidates = components(dealt.mapInArrow(meet, "a long, b long"))
 
     # One document stands for each candidate vertex; its text goes to its component's group.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .chat_format import MEDIA, SUFFIXES, WORD, format_conversations, linked_parts, read_loss, read_turns
+from .chat_format import MEDIA, PARTS, SUFFIXES, WORD, _part, format_conversations, linked_parts, read_loss, read_turns
 from .decontam import find_leaks
 from .exact_dedup import exact_classes
 from .jaccard_join import jaccard_components
@@ -69,6 +69,26 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations whose even turns bring the web page of the same number, as document, image and audio parts with sizes."""
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), "url", F.length("html").alias("n"))
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").join(pages, "conv_id", "left")
+    n, shown = F.col("n"), F.col("n").isNotNull() & (F.col("turn") % 2 == 0)
+    attached = F.array(
+        _part(type=F.lit("document"), ref=F.col("url"), pages=F.floor(n / 3000) + 1),
+        _part(type=F.lit("image"), ref=F.concat("url", F.lit("#image")), width=n % 900 + 100, height=n % 500 + 50),
+        _part(type=F.lit("audio"), ref=F.concat("url", F.lit("#audio")), seconds=n % 60 + F.lit(0.5)),
+    )
+    parts = F.concat(F.array(_part(type=F.lit("text"), text=F.col("text"))), F.when(shown, attached).otherwise(F.array().cast(PARTS)))
+    out = format_conversations(turns.withColumn("parts", parts), parts_col="parts")
+    return out.select(
+        "conv_id",
+        F.sha2("formatted", 256).alias("formatted_sha256"),
+        "n_tokens",
+        F.array_join(F.transform("attachments", lambda a: F.concat(a["type"], F.lit(" "), a["ref"], F.lit(" "), a["tokens"].cast("string"))), "\n").alias("attachments"),
+    )
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_classes(_table(spark, sf_dir, "documents"))
 
@@ -150,7 +170,7 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder, docs.schema["doc_id"].dataType.simpleString()).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op3_suffix_dedup, op4_secret_scan, op5_chat_format, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts, op11_spelling_variants, op12_periodic_runs, op13_token_files)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_decontamination, op3_suffix_dedup, op4_secret_scan, op5_chat_format, op5_typed_parts, op6_exact_dedup, op7_sharding, op8_language_id, op9_jaccard_join, op10_token_counts, op11_spelling_variants, op12_periodic_runs, op13_token_files)}
 
 
 def _found_sql(name: str, kind: int, pattern: str, group: int, least: int) -> str:
@@ -215,7 +235,22 @@ def _chat_sql() -> str:
     """
 
 
+_TYPED_SQL = rf"""
+    WITH turns AS (
+        SELECT c.conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, url, length(html) AS n FROM conversations c LEFT JOIN pages p ON p.page_id = c.conv_id AND turn % 2 = 0
+    ), seen AS (
+        SELECT *, regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') || CASE WHEN n IS NULL THEN '' ELSE '<|document|><|image|><|audio|>' END AS content,
+               (n // 3000 + 1) * 512 AS pages, CAST(ceil((n % 900 + 100) / 28) * ceil((n % 500 + 50) / 28) AS BIGINT) AS patches, CAST(ceil((n % 60 + 0.5) * 25) AS BIGINT) AS frames FROM turns
+    )
+    SELECT conv_id, sha256(string_agg('<|turn|>' || role || chr(10) || content || '<|end|>' || chr(10), '' ORDER BY turn, role, content)) AS formatted_sha256,
+           CAST(sum(len(regexp_extract_all(text, '{WORD}')) + coalesce(pages + patches + frames, 0)) AS BIGINT) AS n_tokens,
+           coalesce(string_agg('document ' || url || ' ' || pages || chr(10) || 'image ' || url || '#image ' || patches || chr(10) || 'audio ' || url || '#audio ' || frames, chr(10) ORDER BY turn, role, content) FILTER (n IS NOT NULL), '') AS attachments
+    FROM seen GROUP BY conv_id
+"""
+
+
 ORACLE_SQL = {
+    "op5_typed_parts": _TYPED_SQL,
     "op4_secret_scan": _secret_sql(),
     "op9_jaccard_join": r"""
         WITH RECURSIVE words AS (

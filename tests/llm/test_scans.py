@@ -127,6 +127,17 @@ def test_linked_parts_and_sql(spark, tmp_path):
         assert r.loss_sha256 == hashlib.sha256("".join(b for a, b in own if a == "assistant").encode()).hexdigest()
 
 
+def test_typed_parts_of_the_tables(spark, sf_dir):
+    got = queries.op5_typed_parts(spark, sf_dir).collect()
+    con = duckdb.connect()
+    for name in ("conversations", "pages"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    want = con.sql(queries.ORACLE_SQL["op5_typed_parts"])
+    assert sorted(tuple(r[c] for c in want.columns) for r in got) == sorted(want.fetchall())
+    sized = [line.split(" ") for r in got for line in r.attachments.splitlines()]
+    assert {kind for kind, *_ in sized} == {"document", "image", "audio"} and all(int(n) > 0 for *_, n in sized)
+
+
 def test_chat_edges(spark):
     schema = "conv_id long, turn long, role string, text string, turns string, written string"
     assert chat_format.format_conversations(spark.createDataFrame([], schema)).count() == 0

@@ -357,6 +357,14 @@ def pr11_frame_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("user_id", "event_id", compare.frame_or_position(rows, CLIP, ORDER).alias("frame"))
 
 
+@register(f"WITH {_SERIES} SELECT user_id, event_id, TRY_CAST(CASE WHEN event_id % 9 = 0 THEN 'lost' ELSE CAST(2 * row_idx AS VARCHAR) END AS DOUBLE) AS frame FROM series")
+def pr11_frame_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame column that the table has: its numbers, null where it holds none."""
+    framed = F.when(F.col("event_id") % 9 == 0, "lost").otherwise((2 * F.col("row_idx")).cast("string"))
+    rows = numbered(spark, sf_dir).withColumn("frame", framed)
+    return rows.select("user_id", "event_id", compare.frame_or_position(rows, CLIP, ORDER).alias("frame"))
+
+
 @register(f"WITH {_SERIES} SELECT user_id, row_idx, round(row_idx / CAST(29.97 AS DOUBLE), 6) + 0.0 AS filter_seconds, round(row_idx / CAST(30 AS DOUBLE), 6) + 0.0 AS render_seconds FROM series")
 def pr13_frame_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = numbered(spark, sf_dir).withColumns({"f": seconds(F.col("row_idx"), FILTER_RATE), "r": seconds(F.col("row_idx"), RENDER_RATE)})

@@ -2,13 +2,15 @@
 
 ``data/run=<id>/clip=<key>/`` holds the clips that a run wrote; ``versions/<number>/`` is a manifest
 ``clip, run`` of a whole version. A manifest is written beside and published by one rename, so a
-reader sees a version whole or not at all, and files of unchanged clips are never touched.
+reader sees a version whole or not at all, and files of unchanged clips are never touched. The store
+must rename a folder as one step (HDFS and local disks do; plain object stores do not).
 """
 
 from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -73,11 +75,25 @@ def publish(changed: DataFrame, root: str, clip: str, run: str | None = None, dr
     draft, final = f"{root}/drafts/{uuid.uuid4().hex}", f"{root}/versions/{base + 1:09d}"
     new.write.parquet(draft)
     fs.mkdirs(path(f"{root}/versions"))
-    if fs.exists(path(final)) or not fs.rename(path(draft), path(final)):
-        raise VersionConflict(f"version {base + 1} of {root} was published by another run")
+    _rename_new(spark, draft, final)
     return base + 1
 
 
+def _rename_new(spark: SparkSession, source: str, target: str) -> None:
+    """One rename that fails where the target is there; the file system decides between two runs."""
+    jvm = spark._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    place = a.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(a)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        files.rename(place, b.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(b), no_overwrite)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in str(e.java_exception.getClass().getName()):
+            raise
+        raise VersionConflict(f"{target} was published by another run") from None
+
+
 def append_run(report: DataFrame, folder: str, run: str) -> None:
     """Adds a run's rows to a log by run. The same run again replaces its own rows, so a replay leaves one set."""
     report.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(folder)

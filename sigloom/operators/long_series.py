@@ -20,7 +20,7 @@ from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, S
 from ..functions import filters
 from ..functions.values import FILTER_RATE, missing
 from ..session import settled, ship
-from .series import CUTOFF, LOW_PASS_ORDER, WINDOW, Matrix, _clip_starts, _same_clip, chain, low_pass, map_channels, savgol, signal_status
+from .series import CUTOFF, LOW_PASS_ORDER, WINDOW, Matrix, _clip_starts, _same_clip, chain, fill_status, low_pass, map_channels, savgol, signal_status
 
 _PART, _OWN, _HEAD, _EDGE = "__part", "__own", "__head", "__edge"
 
@@ -113,6 +113,24 @@ def scanned(df: DataFrame, clip: list[str], order: list[str], columns: list[str]
     return joined.select(*out)
 
 
+def long_fill_report(raw: DataFrame, clip: list[str], order: list[str], columns: list[str]) -> DataFrame:
+    """As ``fill_report`` gives it, without a window: missing values before and after the fill, and the clip's status.
+
+    The fill leaves what stands before a column's first value. That place is a minimum by clip; a
+    second pass counts the rows before it. Tasks combine both before their exchange, and the
+    firsts, a row a clip, meet the rows by a join that Spark can split where a clip is long.
+    """
+    at = F.struct(*[F.col(f"`{c}`") for c in order])
+    firsts = raw.groupBy(*clip).agg(*[F.min(F.when(~missing(raw, c), at)).alias(f"__f{k}") for k, c in enumerate(columns)])
+    firsts = firsts.withColumnsRenamed({c: f"__k{i}" for i, c in enumerate(clip)})
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(clip)]
+    rows = raw.join(firsts, same)
+    count = lambda tests: sum((F.count_if(x) for x in tests), F.lit(0).cast("long"))
+    left = [F.col(f"__f{k}").isNull() | (at < F.col(f"__f{k}")) for k in range(len(columns))]
+    out = rows.groupBy(*clip).agg(F.count("*").alias("n_rows"), count(missing(raw, c) for c in columns).alias("nulls_before"), count(left).alias("nulls_after"))
+    return out.withColumn("status", fill_status(F.col("nulls_before"), F.col("nulls_after")))
+
+
 def low_pass_reach(cutoff: float = CUTOFF, rate: float = FILTER_RATE, order: int = LOW_PASS_ORDER) -> int:
     """After how many rows the filter's inner state has forgotten where it started, to double rounding.
 

@@ -61,6 +61,14 @@ def wn5_long_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long_series.long_clean_signals(rows, LONG_CLIP, "row_idx", ["holed"], _BLOCK).select("clip", "row_idx", "event_type", rounded("holed"))
 
 
+@register(f"""WITH {_LONG}, filled AS (SELECT *, last_value(holed IGNORE NULLS) {_OVER} AS f_holed, last_value(kind IGNORE NULLS) {_OVER} AS f_kind FROM long)
+    SELECT clip, count(*) AS n_rows, 2 * count(*) - count(holed) - count(kind) AS nulls_before, 2 * count(*) - count(f_holed) - count(f_kind) AS nulls_after,
+    CASE WHEN 2 * count(*) = count(holed) + count(kind) THEN 'clean' WHEN 2 * count(*) = count(f_holed) + count(f_kind) THEN 'filled' ELSE 'failed' END AS status FROM filled GROUP BY clip""")
+def qg1_long_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fill gate from minima and counts alone."""
+    return long_series.long_fill_report(long_series_table(spark, sf_dir), LONG_CLIP, ORDER, ["holed", "kind"])
+
+
 # --- functions on clips, and their failures
 
 

@@ -50,6 +50,14 @@ def test_scan_edges(spark):
     assert got == {i: 7.0 if i >= 2 else None for i in range(500)}
 
 
+def test_fill_report_without_a_window(spark):
+    df = rows_of(spark, {"long": 300, "a": 1, "b": 2, "c": 30, None: 5})
+    df = df.unionByName(spark.createDataFrame([("none", 0, i, None, None) for i in range(3)] + [("full", 0, i, 1.0, "k") for i in range(3)], df.schema))
+    got = {r.clip: tuple(r) for r in long_series.long_fill_report(df, ["clip"], ["t", "i"], ["x", "kind"]).collect()}
+    assert got == {r.clip: tuple(r) for r in series.fill_report(df, ["clip"], ["t", "i"], ["x", "kind"]).collect()}
+    assert got["none"][4] == "failed" and got["full"][4] == "clean"
+
+
 def test_a_long_clip_is_many_tasks(spark):
     df = spark.range(20_000).select(F.lit("a").alias("clip"), F.col("id").alias("i"), F.when(F.col("id") % 7 == 0, F.col("id").cast("double")).alias("x"))
     out = long_series.scanned(df, ["clip"], ["i"], ["x"], "row_idx", 16)

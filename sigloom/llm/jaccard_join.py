@@ -163,14 +163,23 @@ def dealt_out(sigs: np.ndarray, hubs: np.ndarray, buckets: int) -> list[pa.Array
     return [keys, pa.nulls(rows, pa.binary()), raw]
 
 
+def _shared(few: np.ndarray, many: np.ndarray) -> int:
+    """How many of a few elements are in a sorted set."""
+    if not len(few) or not len(many):
+        return 0
+    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+    return int((many[at] == few).sum())
+
+
 def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that connect the linked sets of ``sets`` exactly as all links would.
 
     Sets enter an inverted list by rising size, and each probes the list first with the elements
     of its prefix, rare ones first. A list is kept in blocks of equal position: a block is skipped
     whole if its largest set is too small or its position leaves too few elements to share. A set
-    that is connected to a candidate already needs no comparison; where a similar set's overlap
-    with the candidate is known, that bounds the overlap and often decides it.
+    that is connected to a candidate already needs no comparison. Where a similar set's overlap
+    with the candidate is known, this one's follows from it: the sizes of their differences bound
+    it and often decide, else it is counted over the differences alone, not over the whole sets.
     With ``sides``, only sets of different sides are compared.
     """
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
@@ -202,6 +211,7 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
     for i in order:
         own, n = ranked[i], len(ranked[i])
         least, seen, helper = t.smallest(n), set(), -1
+        more = less = own[:0]  # what this set has and the helper lacks, and the other way round
         prefix = [(p, w) for p, w in enumerate(own[: t.prefix(n)].tolist()) if shared[w]] if n else []
         for p, w in prefix:
             for q, (block_sizes, block_sets) in lists[w].items():
@@ -226,13 +236,17 @@ def join_sets(sets: list[np.ndarray], t: Threshold, sides: list[int] | None = No
                             links.append((i, j))
                             root[find(i)] = find(j)
                             continue
-                    both = int(np.intersect1d(own, ranked[j], assume_unique=True).size)
+                        # The helper's computed answer, less what only it shares, and with what only this set shares.
+                        both = its - _shared(less, ranked[j]) + _shared(more, ranked[j])
+                    else:
+                        both = int(np.intersect1d(own, ranked[j], assume_unique=True).size)
                     known[i][j] = known[j][i] = both
                     if both >= need:
                         links.append((i, j))
                         root[find(i)] = find(j)
                         if helper < 0 or both > known[i][helper]:
                             helper = j
+                            more, less = np.setdiff1d(own, ranked[j], assume_unique=True), np.setdiff1d(ranked[j], own, assume_unique=True)
         for p, w in prefix:
             sizes, members = lists[w].setdefault(p, ([], []))
             sizes.append(n)

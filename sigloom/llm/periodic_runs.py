@@ -206,10 +206,10 @@ def find_periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``collapsed`` every run keeps its first period, words are joined by one blank. ``edit(id,
     words)`` may change the words before.
 
-    Nothing is shuffled: a task reads slices of bounded bytes, and needs some 100 bytes for each
-    word of its longest text; time grows as n log n there, for periodic texts too. A null or empty text, or
-    one of white space, has no words and no runs; repeated rows and null ids are rows like others;
-    an empty table gives none; other columns are not read.
+    Nothing is shuffled: a task reads slices of bounded bytes, and needs up to some 200 bytes for
+    each word of its longest text; time grows as n log n there, for periodic texts too. A null or
+    empty text, or one of white space, has no words and no runs; repeated rows and null ids are
+    rows like others; an empty table gives none; other columns are not read.
     """
     ship(docs.sparkSession)
     kind = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])

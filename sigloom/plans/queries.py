@@ -431,7 +431,7 @@ def jn3_observed_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release.audited(_counts(spark, sf_dir), expected).drop("expected")
 
 
-_MEMBERS = f"{_COUNTS}, members AS (SELECT DISTINCT archive, path, length, CASE WHEN many THEN f.stage || '/' ELSE '' END || folder || '/' || stem || '.' || f.ext AS member FROM files f JOIN specs s ON f.stage = s.stage AND f.channel = s.channel AND f.ext = s.ext)"
+_MEMBERS = f"{_COUNTS}, members AS (SELECT DISTINCT archive, path, CASE WHEN many THEN f.stage || '/' ELSE '' END || folder || '/' || stem || '.' || f.ext AS member FROM files f JOIN specs s ON f.stage = s.stage AND f.channel = s.channel AND f.ext = s.ext)"
 
 
 @register(f"WITH {_MEMBERS} SELECT archive, path, member FROM members")

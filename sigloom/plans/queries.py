@@ -11,7 +11,7 @@ from ..functions import codes
 from ..functions.values import FILTER_RATE, RENDER_RATE, numeric, seconds
 from ..operators import compare, features, release, series
 from ..session import scratch_dir, settled
-from ..sources import catalog, tracking
+from ..sources import catalog, clip_files, tracking
 from ..streaming.incremental import run_new_files
 from .filter_sql import low_pass_sql, savgol_sql
 from .fixtures import CLIP, FILES_SQL, LINE_CHANNELS, LINE_CLIP, LINE_ORDER, ORDER, SERIES_SQL, STEM, files, lines, numbered, stems, table
@@ -479,18 +479,17 @@ def sk2_smoothed_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select("user_id", "row_idx", rounded("value"))
 
 
-def _clip_csv(spark: SparkSession, rows: DataFrame) -> str:
-    """One CSV folder a clip, with one file in it."""
+def _clip_csv(spark: SparkSession, rows: DataFrame) -> tuple[str, DataFrame]:
+    """One CSV folder a clip, with one file in it, and the list of the files."""
     folder = _place(spark, "clips")
-    tracking.write_clip_csv(_placed(rows).withColumn("stem", F.col("user_id")).repartition("user_id").sortWithinPartitions("channel", "actor", "stem", "row_idx"), folder)
-    return folder
+    return folder, tracking.write_clip_csv(_placed(rows).withColumn("stem", F.col("user_id")), folder, ["row_idx"])
 
 
 @register(ORACLE_SQL["wn4_savgol"])
 def sk2_smoothed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The export without an index column, read back clip by clip."""
-    out = spark.read.option("header", True).schema("user_id long, row_idx long, value double").csv(_clip_csv(spark, _smoothed(spark, sf_dir)))
-    return out.select("user_id", "row_idx", rounded("value"))
+    _, written = _clip_csv(spark, _smoothed(spark, sf_dir))
+    return clip_files.read_csv(written, "user_id long, row_idx long, value double").select("user_id", "row_idx", rounded("value"))
 
 
 @register(f"""WITH {_WHOLE}, {savgol_sql('own', 'fit')}, every AS (SELECT '01_raw_motion' AS stage, clip, row_idx, x FROM own UNION ALL SELECT '02_smoothed_motion', clip, row_idx, x FROM fit)
@@ -532,7 +531,7 @@ def sc5_one_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("SELECT CASE WHEN user_id % 2 = 0 THEN 'speech' ELSE 'song' END AS channel, CAST(user_id % 24 + 1 AS INTEGER) AS actor, user_id AS stem, 1 AS n_files, true AS has_bytes FROM events GROUP BY user_id")
 def sc6_artefact_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every clip's file of an export, found by a recursive listing."""
-    listed = catalog.list_files(spark, _clip_csv(spark, numbered(spark, sf_dir).select("user_id", "row_idx", "value")), "*.csv")
+    listed = catalog.list_files(spark, _clip_csv(spark, numbered(spark, sf_dir).select("user_id", "row_idx", "value"))[0], "*.csv")
     named = lambda key: F.regexp_extract("path", f"{key}=([^/]*)", 1)
     found = listed.select(named("channel").alias("channel"), named("actor").cast("int").alias("actor"), named("stem").cast("long").alias("stem"), "length")
     return found.groupBy("channel", "actor", "stem").agg(F.count("*").cast("int").alias("n_files"), (F.sum("length") > 0).alias("has_bytes"))

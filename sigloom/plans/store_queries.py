@@ -50,7 +50,7 @@ def sc5_clip_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One clip by its path; an absent one is an error."""
     rows = numbered(spark, sf_dir).select("user_id", "row_idx", "value")
     first = rows.agg(F.min("user_id")).first()[0]
-    place = f"{_clip_csv(spark, rows)}/channel={'speech' if first % 2 == 0 else 'song'}/actor={first % 24 + 1}/stem={first}"
+    place = f"{_clip_csv(spark, rows)[0]}/channel={'speech' if first % 2 == 0 else 'song'}/actor={first % 24 + 1}/stem={first}"
     table = tracking_source.read_tracking_files(spark, place, ["value"], ["value"])
     return table.select("row_idx", "value")
 
@@ -141,7 +141,7 @@ def in1_clip_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT g.channel, g.actor, c.stem, CASE WHEN c.stem IS NULL THEN 'missing' ELSE 'listed' END AS status FROM grid g LEFT JOIN clips c ON c.actor = g.actor AND c.channel = g.channel""")
 def sc1_walked_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files under every expected actor folder of a real tree, listed by tasks; folders that are not there are reported."""
-    root = walk.qualified(spark, _clip_csv(spark, numbered(spark, sf_dir).select("user_id", "row_idx", "value")))
+    root = walk.qualified(spark, _clip_csv(spark, numbered(spark, sf_dir).select("user_id", "row_idx", "value"))[0])
     grid = spark.range(1, 25).select(F.col("id").cast("int").alias("actor"), F.explode(F.array(F.lit("speech"), F.lit("song"))).alias("channel"))
     found = walk.walk(spark, grid.select(F.concat(F.lit(f"{root}/channel="), "channel", F.lit("/actor="), "actor").alias("path")), "*.csv")
     named = lambda key: F.regexp_extract("path", f"{key}=([^/]*)", 1)

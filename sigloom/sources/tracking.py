@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import na_to_null
+from ..session import _delete
+from . import clip_files
 
 # The channels of a tracking table.
 BOX = ["FaceRectX", "FaceRectY", "FaceRectWidth", "FaceRectHeight"]
@@ -106,6 +108,17 @@ def write_clips(df: DataFrame, folder: str, codec: str = "zstd") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy("channel", "actor").parquet(folder)
 
 
-def write_clip_csv(df: DataFrame, folder: str) -> None:
-    """A CSV export without an index, one folder for each clip's stem."""
-    df.write.mode("overwrite").option("header", True).partitionBy("channel", "actor", "stem").csv(folder)
+def write_clip_csv(df: DataFrame, folder: str, order: list[str] | None = None) -> DataFrame:
+    """A CSV export without an index, a folder with one file for each clip's channel, actor and stem.
+
+    It replaces what is in ``folder``, from which ``df`` must not be read. A clip's rows stand in ``order``.
+    The result is ``path, length, rows`` and the keys of every file. Values are written as Spark writes CSV.
+    """
+    spark = df.sparkSession
+    keys = ["channel", "actor", "stem"]
+    names = [c for c in df.columns if c not in keys]
+    header = spark.range(1).select(F.to_csv(F.struct(*[F.lit(n).alias(f"c{i}") for i, n in enumerate(names)]))).first()[0]
+    line = F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names])).alias("__line")
+    lines = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, *(order or [])])], line)
+    _delete(spark, folder)
+    return clip_files.write_lines(lines, folder, keys, order or [], "__line", ".csv", header)

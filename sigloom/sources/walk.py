@@ -15,6 +15,17 @@ from ..session import released, settled, ship
 _SCHEMA = "path string, folder boolean, length long, modified timestamp, status string"
 
 
+def store(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a qualified path, and the path in it; of a local one as it is written, escapes and blanks too."""
+    return (pafs.LocalFileSystem(), uri[7:]) if uri.startswith("file://") else pafs.FileSystem.from_uri(uri)
+
+
+def dealt(places: DataFrame, per_task: int = 1024) -> DataFrame:
+    """Rows that cost a look at a folder or file each, over tasks of ``per_task`` at most; few rows still keep all cores busy."""
+    n = places.count()
+    return places.repartition(max(1, -(-n // per_task), min(n, places.sparkSession.sparkContext.defaultParallelism)))
+
+
 def _children(batches: Iterator[pa.RecordBatch], uri: str, pattern: str) -> Iterator[pa.RecordBatch]:
     """What lies directly in each folder; a folder that is not there, or that cannot be read, says so."""
     fs, _ = pafs.FileSystem.from_uri(uri)

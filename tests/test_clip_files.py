@@ -59,3 +59,16 @@ def test_many_clips_are_few_tasks(spark, tmp_path):
     # Spark's own listing of 600 folders takes 600 tasks.
     assert most <= 40
     assert not list((tmp_path / "c").rglob(".*"))
+
+
+def test_one_clip_of_many_is_few_tasks(spark, tmp_path):
+    from sigloom.plans.queries import QUERIES
+
+    rows = spark.range(600).select((F.col("id") + 3).alias("user_id"), F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.lit("a").alias("event_type"), F.lit(1.5).alias("value"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    most = _jobs(spark, lambda: seen.extend(QUERIES["sc5_clip_file"](spark, str(tmp_path)).collect()))
+    assert [tuple(r) for r in seen] == [(0, 1.5)] and most <= 40
+    stems = spark.range(600).select(F.lit("song").alias("channel"), F.lit(1).alias("actor"), F.col("id").alias("stem"), "id").repartition(3)
+    # One file a clip, none left half written, wherever its rows came from.
+    assert tracking.write_clip_csv(stems.union(stems), str(tmp_path / "c")).count() == len(list((tmp_path / "c").rglob("*.csv"))) == 600

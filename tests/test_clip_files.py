@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from sigloom.sources import clip_files, tracking
+from sigloom.sources import clip_files, tracking, walk
 
 
 def _jobs(spark, step):
@@ -72,3 +72,13 @@ def test_one_clip_of_many_is_few_tasks(spark, tmp_path):
     stems = spark.range(600).select(F.lit("song").alias("channel"), F.lit(1).alias("actor"), F.col("id").alias("stem"), "id").repartition(3)
     # One file a clip, none left half written, wherever its rows came from.
     assert tracking.write_clip_csv(stems.union(stems), str(tmp_path / "c")).count() == len(list((tmp_path / "c").rglob("*.csv"))) == 600
+
+
+def test_a_walk_of_many_folders_is_few_tasks(spark, tmp_path):
+    for k in range(1500):
+        (tmp_path / f"{k}").mkdir()
+        (tmp_path / f"{k}" / "x.csv").write_text("1")
+    top = spark.createDataFrame([(f"file://{tmp_path}",)], "path string")
+    seen = []
+    assert _jobs(spark, lambda: seen.append(walk.walk(spark, top, "*.csv").count())) <= 40
+    assert seen == [1500]

@@ -6,15 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from . import walk
 
 
 def list_files(spark: SparkSession, root: str, pattern: str, recursive: bool = True) -> DataFrame:
     """``path, length, modified`` of the files under ``root``; contents are never read.
 
+    A tree is walked by tasks, level by level. A single file, a glob or one level is Spark's own listing.
     Ordering is left to reports and sinks. A folder without a match gives no rows.
     """
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
-    return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not recursive or not fs.exists(path) or fs.getFileStatus(path).isFile():
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower())
+        return reader.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    top = spark.range(1).select(F.lit(walk.qualified(spark, root)).alias("path"))
+    # A folder that is gone by the time its turn comes held no file of the listing; one that cannot be read is an error.
+    found = walk.walk(spark, top, pattern).where("status <> 'missing'")
+    checked = F.when(F.col("status") == "listed", F.col("path")).otherwise(F.raise_error(F.concat_ws(" ", "path", "status")))
+    return found.select(F.regexp_replace(checked, "^file:///", "file:/").alias("path"), "length", "modified")
 
 
 def clips(files: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from sigloom.sources import clip_files, tracking, walk
+from sigloom.sources import catalog, clip_files, tracking, walk
 
 
 def _jobs(spark, step):
@@ -54,8 +54,9 @@ def test_many_clips_are_few_tasks(spark, tmp_path):
     root = str(tmp_path / "c")
     seen = []
     most = _jobs(spark, lambda: seen.append(tracking.write_clip_csv(df, root)))
+    most = max(most, _jobs(spark, lambda: seen.append(catalog.list_files(spark, root, "*.csv").count())))
     most = max(most, _jobs(spark, lambda: seen.append(clip_files.read_csv(seen[0], "x long").agg(F.sum("x")).first()[0])))
-    assert seen[1:] == [sum(range(600))]
+    assert seen[1:] == [600, sum(range(600))]
     # Spark's own listing of 600 folders takes 600 tasks.
     assert most <= 40
     assert not list((tmp_path / "c").rglob(".*"))
@@ -82,3 +83,18 @@ def test_a_walk_of_many_folders_is_few_tasks(spark, tmp_path):
     seen = []
     assert _jobs(spark, lambda: seen.append(walk.walk(spark, top, "*.csv").count())) <= 40
     assert seen == [1500]
+
+
+def test_a_listing_names_files_as_spark_does(spark, tmp_path):
+    for name in ("a b/x%2Fy.csv", "d/e/f.csv", "d/_tmp/g.csv", "d/.h.csv", "d/n.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("1")
+    spark_own = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    want = sorted((r.path, r.length, r.modificationTime) for r in spark_own.load(str(tmp_path)).select("path", "length", "modificationTime").collect())
+    got = sorted((r.path, r.length, r.modified) for r in catalog.list_files(spark, str(tmp_path), "*.csv").collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want] and len(got) == 2
+    assert [g[2].replace(microsecond=0) for g in got] == [w[2].replace(microsecond=0) for w in want]
+    assert catalog.list_files(spark, str(tmp_path / "d" / "e" / "f.csv"), "*.csv").count() == 1
+    assert catalog.list_files(spark, str(tmp_path / "d*"), "*.csv").count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        catalog.list_files(spark, str(tmp_path / "none"), "*.csv").count()

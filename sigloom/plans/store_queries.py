@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..operators import bucketed, release, series
-from ..sources import membership, tracking_source, versions, walk
+from ..sources import clip_files, membership, tracking_source, versions, walk
 from ..streaming.parts import run_clip_parts
 from .filter_sql import low_pass_sql, savgol_sql
 from .fixtures import CLIP, FILES_SQL, ORDER, SERIES_SQL, files, numbered
@@ -33,7 +33,7 @@ def _drifting_csv(spark: SparkSession, sf_dir: str) -> str:
     lines = rows.select("user_id", "row_idx", header.alias("header"), line.alias("line"))
     # One text a clip: the header, then its lines in an order that the index undoes.
     body = lines.groupBy("user_id").agg(F.first("header").alias("header"), F.array_join(F.array_sort(F.collect_list(F.struct(F.hash("row_idx").alias("h"), "line")))["line"], "\n").alias("body"))
-    body.select("user_id", F.concat("header", F.lit("\n"), "body").alias("value")).repartition("user_id").write.partitionBy("user_id").text(folder)
+    clip_files.write_lines(body.select("user_id", F.concat("header", F.lit("\n"), "body").alias("value")), folder, ["user_id"], [], "value", ".txt")
     return folder
 
 

@@ -1,7 +1,7 @@
 """Versioned clip datasets: a run writes the clips that it changed, a manifest says which files count.
 
-``data/run=<id>/clip=<key>/`` holds the clips that a run wrote; ``versions/<number>/`` is a manifest
-``clip, run`` of a whole version. A manifest is written beside and published by one rename, so a
+``data/run=<id>/clip=<key>/`` holds the clips that a run wrote, a file each; ``versions/<number>/`` is a manifest
+``clip, run`` of a whole version. Tasks write and read the files, the driver lists none. A manifest is written beside and published by one rename, so a
 reader sees a version whole or not at all, and files of unchanged clips are never touched. The store
 must rename a folder as one step (HDFS and local disks do; plain object stores do not).
 """
@@ -13,7 +13,9 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
+
+from . import clip_files
 
 
 class VersionConflict(RuntimeError):
@@ -41,11 +43,15 @@ def manifest(spark: SparkSession, root: str, version: int | None = None) -> Data
     return spark.read.schema("clip string, run string").parquet(f"{root}/versions/{version:09d}")
 
 
-def read_version(spark: SparkSession, root: str, schema: str, version: int | None = None) -> DataFrame:
-    """The rows of a version: ``clip, run`` and the columns of ``schema``. Spark prunes folders by the manifest's runs and clips."""
-    fields = [*StructType.fromDDL(schema).fields, StructField("run", StringType()), StructField("clip", StringType())]
-    data = spark.read.schema(StructType(fields)).parquet(f"{root}/data")
-    return data.join(manifest(spark, root, version), ["clip", "run"])
+def read_version(spark: SparkSession, root: str, schema: str, version: int | None = None, only: str | None = None) -> DataFrame:
+    """The rows of a version: ``clip, run`` and the columns of ``schema``; a column that a file lacks is null.
+
+    Tasks read the folders that the manifest names, and no others are listed or opened. ``only``, a condition on ``clip``
+    and ``run``, chooses among them.
+    """
+    place = F.concat_ws("/", F.lit(f"{clip_files.qualified(spark, root)}/data"), F.concat(F.lit("run="), "run"), clip_files.folder_column("clip"))
+    named = manifest(spark, root, version).where(only or "true")
+    return clip_files.read_parquet(named.select(place.alias("path"), "clip", "run"), StructType.fromDDL(schema))
 
 
 def publish(changed: DataFrame, root: str, clip: str, run: str | None = None, dropped: DataFrame | None = None) -> int:
@@ -65,15 +71,16 @@ def publish(changed: DataFrame, root: str, clip: str, run: str | None = None, dr
         raise ValueError(f"run {run} has written to {root} before")
     key = F.col(f"`{clip}`").cast("string")
     keyed = changed.withColumn("clip", F.coalesce(key, F.raise_error(F.lit("a clip without a key"))))
-    # A clip of any size is one folder; its rows are brought to one task, the files of a folder are few.
-    keyed.repartition("clip").write.partitionBy("clip").parquet(place)
-    written = spark.read.schema(keyed.schema).parquet(place).select("clip").distinct()
-    new = written.withColumn("run", F.lit(run))
+    # The tasks that write the clips say which they wrote, and that is the draft of the manifest.
+    draft, final = f"{root}/drafts/{uuid.uuid4().hex}", f"{root}/versions/{base + 1:09d}"
+    fs.mkdirs(path(place))
+    clip_files.write_parquet(keyed, place, ["clip"]).select("clip", F.lit(run).alias("run")).write.parquet(draft)
     if base:
+        written = spark.read.schema("clip string, run string").parquet(draft)
         old = manifest(spark, root, base).join(written, "clip", "left_anti")
-        new = new.unionByName(old.join(dropped.select(F.col("clip").cast("string").alias("clip")), "clip", "left_anti") if dropped is not None else old)
-    draft, final = f"{root}/drafts/{uuid.uuid4().hex}", f"{root}/versions/{base + 1:09d}"
-    new.write.parquet(draft)
+        if dropped is not None:
+            old = old.join(dropped.select(F.col("clip").cast("string").alias("clip")), "clip", "left_anti")
+        old.write.mode("append").parquet(draft)
     fs.mkdirs(path(f"{root}/versions"))
     _rename_new(spark, draft, final)
     return base + 1

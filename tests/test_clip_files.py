@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sigloom.session import scratch_dir
-from sigloom.sources import catalog, clip_files, tracking, walk
+from sigloom.sources import catalog, clip_files, tracking, versions, walk
+
+ODD = ["a b", "x/y=z", "100%", "%2F", "", "ü:[1]", "q'\"\\", "_u", ".v"]
 
 
 def _jobs(spark, step):
@@ -118,3 +120,26 @@ def test_texts_of_many_clips_are_few_tasks(spark, tmp_path):
 def _scratch(spark):
     place = Path(scratch_dir(spark))
     return place.iterdir() if place.exists() else ()
+
+
+def test_versions_hold_clips_of_any_key(spark, tmp_path):
+    root, schema = str(tmp_path / "set of"), "clip_id string, i int, x double"
+    rows = [(k, i, float(i)) for k in ODD for i in range(2)]
+    versions.publish(spark.createDataFrame(rows, schema), root, "clip_id", "r 1")
+    assert {p.parent.name for p in (tmp_path / "set of").rglob("part-0.parquet")} == {clip_files.folder_name("clip", k) for k in ODD}
+    got = versions.read_version(spark, root, f"{schema}, later timestamp")
+    assert sorted((r.clip_id, r.i, r.x) for r in got.collect()) == sorted(rows)
+    assert {(r.clip, r.run, r.later) for r in got.collect()} == {(k, "r 1", None) for k in ODD}
+    assert {r.clip for r in versions.read_version(spark, root, schema, only="clip = '100%'").collect()} == {"100%"}
+    # Folders that Spark itself wrote are read as well.
+    spark.createDataFrame(rows, schema).where("clip_id <> ''").withColumn("clip", F.col("clip_id")).write.partitionBy("clip").parquet(str(tmp_path / "own"))
+    assert {p.name for p in (tmp_path / "own").glob("clip=*")} == {clip_files.folder_name("clip", k) for k in ODD if k}
+
+
+def test_many_versioned_clips_are_few_tasks(spark, tmp_path):
+    root, rows = str(tmp_path / "set"), spark.range(600).select("id", F.col("id").alias("x"))
+    seen = []
+    most = _jobs(spark, lambda: seen.append(versions.publish(rows, root, "id", "one")))
+    most = max(most, _jobs(spark, lambda: seen.append(versions.read_version(spark, root, "id long, x long").agg(F.sum("x")).first()[0])))
+    assert seen == [1, sum(range(600))]
+    assert most <= 40

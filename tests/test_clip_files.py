@@ -80,13 +80,13 @@ def test_one_clip_of_many_is_few_tasks(spark, tmp_path):
 
 
 def test_a_walk_of_many_folders_is_few_tasks(spark, tmp_path):
-    for k in range(1500):
+    for k in range(3000):
         (tmp_path / f"{k}").mkdir()
         (tmp_path / f"{k}" / "x.csv").write_text("1")
     top = spark.createDataFrame([(f"file://{tmp_path}",)], "path string")
     seen = []
     assert _jobs(spark, lambda: seen.append(walk.walk(spark, top, "*.csv").count())) <= 40
-    assert seen == [1500]
+    assert seen == [3000]
 
 
 def test_a_listing_names_files_as_spark_does(spark, tmp_path):

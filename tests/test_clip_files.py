@@ -79,6 +79,20 @@ def test_one_clip_of_many_is_few_tasks(spark, tmp_path):
     assert tracking.write_clip_csv(stems.union(stems), str(tmp_path / "c")).count() == len(list((tmp_path / "c").rglob("*.csv"))) == 600
 
 
+def test_one_clip_by_its_path_leaves_the_driver_no_file(spark, tmp_path):
+    from sigloom.plans.queries import QUERIES
+
+    rows = spark.range(1200).select((F.col("id") % 300 + 4).alias("user_id"), F.col("id").alias("event_id"), F.timestamp_seconds(-F.col("id")).alias("ts"), F.lit("a").alias("event_type"), (F.col("id") / 2).alias("value"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    before = {p for p in _scratch(spark) if p.name.startswith("clips-")}
+    got = QUERIES["sc5_clip_file"](spark, str(tmp_path)).orderBy("row_idx").collect()
+    assert [tuple(r) for r in got] == [(0, 450.0), (1, 300.0), (2, 150.0), (3, 0.0)]
+    (folder,) = {p for p in _scratch(spark) if p.name.startswith("clips-")} - before
+    # Every clip has its file, by name the task's own: a commit on the driver would have renamed each and left its mark.
+    assert {p.parent.name for p in folder.glob("channel=*/actor=*/stem=*/part-0.csv")} == {f"stem={k + 4}" for k in range(300)}
+    assert not (folder / "_SUCCESS").exists() and len([p for p in folder.rglob("*") if p.is_file() and p.suffix != ".crc"]) == 300
+
+
 def test_a_walk_of_many_folders_is_few_tasks(spark, tmp_path):
     for k in range(3000):
         (tmp_path / f"{k}").mkdir()

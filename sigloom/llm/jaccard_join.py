@@ -3,6 +3,8 @@
 1. Each text becomes a set of hashed shingles. Rows with equal sets are one vertex.
 2. Candidates: sets are cut into parts by hash, into more parts than two linked sets can differ
    in, so that linked sets agree in a whole part. Agreeing sets form candidate components.
+   Sets that agree by chance chain small groups to large components, the more the larger the
+   input is; a large component is parted by finer signatures.
 3. Each candidate component is joined in one task (a large one in blocks) on an inverted list
    with blocks by position, skipping what known answers already decide.
 """
@@ -13,13 +15,14 @@ import functools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settled, ship
+from ..session import released, settled, ship
 from .batches import by_bytes
 from .graph import components
 from .shingles import mixed, shingle_sets
@@ -30,6 +33,7 @@ _SHINGLE_BYTES = 6  # about a word and its blank
 _MOST_TASKS = 1 << 15  # that buckets are dealt out to
 _GATHER = 1 << 21  # signatures of a task that are cut into buckets together
 _FEW = 64  # signatures a bucket on average below which they go out as they are
+_FINER = ((4, 1), (6, 2))  # shares of a part and how many of them a finer signature leaves out: for large components, then for those still large
 
 
 class Threshold:
@@ -119,6 +123,41 @@ def signatures(own: np.ndarray, t: Threshold, common: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def finer_signatures(own: np.ndarray, t: Threshold, common: np.ndarray, shares: int, out: int) -> np.ndarray:
+    """As :func:`signatures`, of more elements each, so that far fewer unlike sets agree by chance.
+
+    With ``d // (out + 1) + 1 + slack`` parts, linked sets differ in ``out`` elements at most in
+    ``slack + 1`` of them. A part is cut into ``shares`` and gives a signature of all but ``out``
+    of these, for each choice. A part with elements in ``out`` shares at most, of which a choice
+    can leave nothing, may agree so; a set with more than ``slack`` such parts in a class gives its
+    plain signatures as well. Sets that agree in such parts alone both do.
+    """
+    n, found, sparse = len(own), [], False
+    rare = own if not len(common) else own[common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own]
+    choices = np.array([*combinations(range(shares), out)])
+    for k, top in t.size_class(n):
+        d = t.differing(top)
+        if not d:
+            continue
+        parts = d // (out + 1) + 1
+        slack = 3 * parts // 20 + 1
+        parts += slack
+        place = (((rare >> np.uint64(32)) * np.uint64(parts * shares)) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])[: len(rare)])
+        sums, held = np.zeros((parts, shares), np.uint64), np.zeros((parts, shares), np.int64)
+        if len(first):
+            sums.ravel()[place[first]] = np.add.reduceat(mixed(rare ^ _K1), first)
+            held.ravel()[place[first]] = 1
+        left = held.sum(1, keepdims=True) - held[:, choices].sum(2)
+        kept = sums.sum(1, keepdims=True, dtype=np.uint64) - sums[:, choices].sum(2, dtype=np.uint64)
+        at = np.flatnonzero(left)
+        found.append(mixed(kept.ravel()[at] + at.astype(np.uint64) * _K1 + np.uint64(k * int(_K2) & _ALL)))
+        sparse |= int((left == 0).any(1).sum()) > slack
+    if sparse:
+        found.append(signatures(own, t, common))
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
 def star(sigs: np.ndarray, vertices: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct signatures, the smallest vertex of each, and the other vertices' links to it."""
     order = np.lexsort((vertices, sigs))
@@ -268,7 +307,7 @@ def jaccard_components(
     Sets are identified by 64-bit hashes of 64-bit shingle hashes. Signatures meet in buckets whose
     number follows their measured bytes; a task reads its buckets in order and holds one of about
     ``bucket_bytes`` at a time, and writes a link once. A candidate component over
-    ``group_bytes`` of text is cut into blocks, each joined by itself and with one leading set;
+    ``group_bytes`` of text is parted by finer signatures; one that still is as large is cut into blocks, each joined by itself and with one leading set;
     then what is not connected to the leader is joined with every block. Sets that are alike, as
     in a large group of near copies, so cost a group's size and not its square, and no task holds
     more than two blocks.
@@ -300,41 +339,12 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshol
 
     measured = settled(rows.mapInArrow(measure, f"id {kind}, t long, n long, v long, h long, k long"), "sets")
     sets = measured.where("h is null").select("id", "t", "n", "v")
-    # A signature has 8 bytes, and a set about half as many signatures as shingles.
-    buckets = max(1, -(-4 * (sets.agg(F.sum("n")).first()[0] or 0) // bucket_bytes))
+    total = sets.agg(F.sum("n")).first()[0] or 0
 
     # Well-known shingles only steer how sets are dealt out, so a bounded list of the most common will do.
     counted = measured.where("h is not null").groupBy("h").agg(F.sum("k").alias("n"))
     common = np.sort(np.array([r["h"] for r in counted.orderBy(F.desc("n"), "h").limit(most_common).collect()], np.int64).view(np.uint64))
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()  # sets of this task: copies give the same signatures
-        found, owner, waiting = [], [], 0
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            sigs, hubs, links = star(np.concatenate(found), np.concatenate(owner))
-            columns = dealt_out(sigs, hubs, buckets)
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.binary())], names)
-            if len(links):
-                yield pa.RecordBatch.from_arrays([pa.array([int(links[0, 1] % buckets)], pa.int32()), *[pa.nulls(1, pa.binary())] * 2, pa.array([links.tobytes()], pa.binary())], names)
-
-        names = ["bucket", "sigs", "raw", "links"]
-        for batch in by_bytes(batches, 0, 8 << 20):
-            for own in shingle_sets(batch.column(0).to_pylist(), words):
-                if len(own) and (v := vertex(own)) not in met:
-                    met.add(v)
-                    s = signatures(own, t, common)
-                    found.append(s)
-                    owner.append(np.full(len(s), v, np.int64))
-                    waiting += len(s)
-            if len(met) > 1 << 20:
-                met.clear()
-            if waiting >= _GATHER:
-                yield from flushed()
-                found, owner, waiting = [], [], 0
-        if waiting:
-            yield from flushed()
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Bucket after bucket; links that a task finds again in its next bucket are not written again."""
         now, held = None, []
@@ -365,22 +375,71 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshol
         if len(links):
             yield rows()
 
-    signed = rows.select("text").mapInArrow(sign, "bucket int, sigs binary, raw binary, links binary")
-    dealt = signed.repartitionById(min(buckets, _MOST_TASKS), "bucket").sortWithinPartitions("bucket")
-    candidates = components(dealt.mapInArrow(meet, "a long, b long"))
+    def candidates(texts: DataFrame, shingles: int, finer: tuple[int, int] | None = None) -> DataFrame:
+        """``(v, c)`` of sets that signatures connect; finer ones connect only within the ``c`` that stands beside the text."""
+        # A signature has 8 bytes, and a set about half as many signatures as shingles; finer ones are more.
+        buckets = max(1, -(-4 * shingles * (math.comb(*finer) if finer else 1) // bucket_bytes))
+
+        def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            met: set[int] = set()  # sets of this task: copies give the same signatures
+            found, owner, waiting = [], [], 0
+
+            def flushed() -> Iterator[pa.RecordBatch]:
+                sigs, hubs, links = star(np.concatenate(found), np.concatenate(owner))
+                columns = dealt_out(sigs, hubs, buckets)
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.binary())], names)
+                if len(links):
+                    yield pa.RecordBatch.from_arrays([pa.array([int(links[0, 1] % buckets)], pa.int32()), *[pa.nulls(1, pa.binary())] * 2, pa.array([links.tobytes()], pa.binary())], names)
+
+            names = ["bucket", "sigs", "raw", "links"]
+            for batch in by_bytes(batches, 0, 8 << 20):
+                within = mixed(batch.column(1).to_numpy().view(np.uint64)) if finer else None
+                for i, own in enumerate(shingle_sets(batch.column(0).to_pylist(), words)):
+                    if len(own) and (v := vertex(own)) not in met:
+                        met.add(v)
+                        s = mixed(finer_signatures(own, t, common, *finer) ^ within[i]) if finer else signatures(own, t, common)
+                        found.append(s)
+                        owner.append(np.full(len(s), v, np.int64))
+                        waiting += len(s)
+                if len(met) > 1 << 20:
+                    met.clear()
+                if waiting >= _GATHER:
+                    yield from flushed()
+                    found, owner, waiting = [], [], 0
+            if waiting:
+                yield from flushed()
+
+        signed = texts.mapInArrow(sign, "bucket int, sigs binary, raw binary, links binary")
+        dealt = signed.repartitionById(min(buckets, _MOST_TASKS), "bucket").sortWithinPartitions("bucket")
+        return components(dealt.mapInArrow(meet, "a long, b long"))
+
+    def too_large(plan: DataFrame) -> DataFrame:
+        """Components over the limit, which are few: their shingles, their leading vertex and into how many blocks they are cut."""
+        total = plan.select("c", "v", "n").distinct().groupBy("c").agg(F.sum("n").alias("total"), F.min("v").alias("leader"))
+        return settled(total.where(F.col("total") > limit).withColumn("blocks", F.ceil(F.col("total") / limit).cast("int")), "large")
 
     # One document stands for each candidate vertex; its text goes to its component's group.
     first = F.min(F.struct(F.col("id").isNull(), "id", "t"))
     one = sets.where("v is not null").groupBy("v").agg(first.alias("first"), F.min("n").alias("n")).select("v", "n", "first.id", "first.t")
-    chosen = one.join(candidates, "v").select("id", "t", "v", "n", "c")
-    sized = settled(chosen.groupBy("c").agg(F.sum("n").alias("total"), F.min("v").alias("leader")), "sized")
+    chosen = one.join(candidates(rows.select("text"), total), "v").select("v", "n", "c", F.col("id").alias("its_id"), F.col("t").alias("its_t"))
+    plan = chosen.join(rows, F.col("its_id").eqNullSafe(F.col("id")) & (F.col("its_t") == F.col("t")))
+    plan = settled(plan.select("c", "v", "n", "text"), "plan")
     limit = max(1, group_bytes // _SHINGLE_BYTES)
-    groups = max(1, -(-(sized.agg(F.sum("total")).first()[0] or 0) // limit))
-    sized = sized.withColumn("blocks", F.ceil(F.col("total") / limit).cast("int"))
+    wide = too_large(plan)
+    for finer in _FINER:
+        if wide.isEmpty():
+            break
+        # What met by chance, and so more often the more texts there are, is parted before anything is compared in blocks.
+        coarse, names = plan, F.broadcast(wide.select("c"))
+        again = coarse.join(names, "c")
+        parts = candidates(again.select("text", "c"), wide.agg(F.sum("total")).first()[0], finer)
+        parted = again.drop("c").join(parts, "v").select("c", "v", "n", "text")
+        plan = settled(coarse.join(names, "c", "left_anti").select("c", "v", "n", "text").unionAll(parted), "plan")
+        released(coarse)
+        wide = too_large(plan)
+    groups = max(1, -(-(plan.agg(F.sum("n")).first()[0] or 0) // limit))
     block = F.pmod(F.xxhash64("v"), F.col("blocks").cast("long")).cast("int")
-    plan = chosen.join(sized, "c").withColumn("block", block).withColumnsRenamed({"id": "its_id", "t": "its_t"})
-    plan = plan.join(rows, F.col("its_id").eqNullSafe(F.col("id")) & (F.col("its_t") == F.col("t")))
-    plan = settled(plan.select("c", "v", "n", "leader", "blocks", "block", "text"), "plan")
+    stored, plan = plan, plan.join(F.broadcast(wide.drop("total")), "c", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", block)
     small = plan.where("blocks = 1").select(F.pmod(F.xxhash64("c"), F.lit(groups)).alias("g"), F.lit(-1).alias("part"), "c", "v", F.lit(0).alias("side"), "text")
 
     def verify(table: pa.Table) -> pa.Table:
@@ -419,6 +478,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, words: int, t: Threshol
         met = large.join(parts, "c").select("c", "v", "text", "block", "blocks", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("r"))
         pair = lambda df, b, side: df.select(F.col("c").alias("g"), (F.col("r") * F.col("blocks") + F.col(b)).alias("part"), "c", "v", F.lit(side).alias("side"), "text")
         linked = components(links.unionAll(linked_in(pair(rest, "b", 0).unionAll(pair(met, "block", 1)))))
+    released(stored)
     rooted = one.join(linked, "v", "left").select("v", "id", F.coalesce("c", "v").alias("root"))
     least = settled(rooted.groupBy("root").agg(F.min("id").alias("component_id")), "least")  # a plain join side, whose hot keys can be split
     place = rooted.join(least, "root").select("v", "component_id")

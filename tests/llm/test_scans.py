@@ -411,6 +411,50 @@ def test_linked_sets_share_a_signature(share):
                 assert set(jaccard_join.signatures(a, t, common)) & set(jaccard_join.signatures(b, t, common))
 
 
+@pytest.mark.parametrize("finer", [(4, 1), (6, 2)])
+def test_linked_sets_share_a_finer_signature(finer):
+    rng, t, linked = np.random.default_rng(9), jaccard_join.Threshold(80, 100), 0
+    for n in [*range(1, 60), 100, 333, 1000]:
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for _ in range(20):
+            gone = rng.integers(0, max(1, n // 6) + 1)
+            b = np.unique(np.concatenate([rng.permutation(a)[gone:], rng.integers(0, 1 << 63, rng.integers(0, n // 8 + 1)).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 0 < len(b) and 100 * both >= 80 * (len(a) + len(b) - both) and both < max(len(a), len(b)):
+                common = np.sort(rng.permutation(a)[: int(n * rng.choice([0, 0.1, 0.9, 1]))])
+                assert set(jaccard_join.finer_signatures(a, t, common, *finer)) & set(jaccard_join.finer_signatures(b, t, common, *finer))
+                linked += 1
+    assert linked > 300
+
+
+def test_chance_meetings_are_not_joined_block_by_block(spark, monkeypatch):
+    """Unlike texts with a few passages in common are one large candidate component; all of it was copied once a block."""
+    rng = random.Random(5)
+    words = [[f"w{rng.randrange(1 << 40)}" for _ in range(400)] for _ in range(300)]
+    for own in words:
+        for _ in range(16):
+            at, other = rng.randrange(0, 386), rng.choice(words)
+            own[at : at + 14] = other[at : at + 14]
+    rows = [(k, " ".join(w)) for k, w in enumerate(words)]
+    rows += [(1000 + k, " ".join([*words[k][:-1], "end"])) for k in range(0, 300, 9)]
+    large, crossed, real = [], [], jaccard_join.settled
+
+    def settled(df, name):
+        out = real(df, name)
+        if name == "large":
+            large.append(out.agg(F.sum("total")).first()[0] or 0)
+        if name == "apart":
+            crossed.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "settled", settled)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.jaccard_components(df, words=5, threshold=jaccard_join.Threshold(80, 100), group_bytes=60_000)
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == brute.jaccard_components(rows, 5, 80)
+    assert sum(crossed) < 30
+    assert large[0] > 40_000 and large[-1] == 0
+
+
 def test_jaccard_edges(edges, nothing):
     got = jaccard_join.jaccard_components(edges).collect()
     assert len(got) == edges.count()

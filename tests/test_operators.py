@@ -6,6 +6,7 @@ import math
 import subprocess
 import sys
 import shutil
+import time
 from pathlib import Path
 
 import numpy as np
@@ -113,6 +114,21 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
             session.scratch_dir(spark)
 
 
+def test_settled_leaves_no_shuffle_files(spark):
+    from sigloom import session
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk, before = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), spark.conf.get(key, None)
+    shuffles = lambda: {f.name() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllBlocks()) if f.name().startswith("shuffle_")}
+    held = shuffles()
+    table = session.settled(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "count"), "shuffled")
+    end = time.time() + 10
+    while shuffles() - held and time.time() < end:
+        time.sleep(0.1)
+    assert not shuffles() - held and table.count() == 7 and spark.conf.get(key, None) == before
+    session.released(table)
+
+
 def test_clips_that_span_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
